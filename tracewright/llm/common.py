@@ -72,13 +72,15 @@ def ascii_lower(text: Column) -> Column:
 def map_texts(df: DataFrame, carry: list[str], make: Callable[[], Callable], ddl: str, text: str = "text") -> DataFrame:
     """carry columns and the columns of ddl, which make()(list of texts) returns as lists or arrays in that order.
 
-    A null text reaches the function as None. Runs on bounded Arrow batches; no shuffle.
+    A null text reaches the function as None. Runs on bounded Arrow batches; no shuffle. A text that is also carried goes
+    to Python once.
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     keys = [f"_k{i}" for i in range(len(carry))]
-    source = df.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(carry, keys)), F.col(f"`{text}`").cast("string").alias("_text"))
+    at = carry.index(text) if text in carry else len(carry)
+    source = df.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(carry, keys)), *([F.col(f"`{text}`").alias("_text")] if at == len(carry) else []))
     types = [f"`{k}` {source.schema[k].dataType.simpleString()}" for k in keys]
     added = [x.split()[0] for x in ddl.split(", ")]
 
@@ -86,7 +88,7 @@ def map_texts(df: DataFrame, carry: list[str], make: Callable[[], Callable], ddl
         work = make()
         for batch in batches:
             if batch.num_rows:
-                out = work(batch.column(len(keys)).to_pylist())
+                out = work(batch.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *(x if isinstance(x, pa.Array) else pa.array(x) for x in out)], names=[*keys, *added])
 
     return source.mapInArrow(run, ", ".join([*types, ddl])).withColumnsRenamed(dict(zip(keys, carry)))

@@ -70,17 +70,11 @@ def _windows(items: DataFrame, span: int, gram: int) -> DataFrame:
     return full.unionByName(short).distinct()
 
 
-def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of docs (columns doc_id, text).
-
-    items: item_id, text. An item of fewer than span words, but not none, is one window; items without id or words match
-    nothing. Null texts have no words. Rows that repeat both doc_id and text get the same figures each; null ids are
-    kept. Empty tables, of either kind, give a defined result: no rows, or no hits. Other columns are ignored.
-    """
+def _hits(docs: DataFrame, items: DataFrame, span: int, gram: int) -> DataFrame | None:
+    """doc_id, _row, p, e, item_id: words p to e of a document are a window of the item. None if items have no window."""
     windows = materialize(_windows(items, span, gram), "windows")
     lengths = [r[0] for r in windows.select("length").distinct().orderBy("length").collect()]  # span values at most
     row = F.xxhash64("doc_id", "text")
-    counted = docs.select("doc_id", row.alias("_row"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     texts = docs.select("doc_id", row.alias("_row"), words_of(F.col("text")).alias("_w"))
     found = None
     for length in lengths:
@@ -100,7 +94,18 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
             near = near.select("doc_id", "_row", "p", F.array_join(F.slice("_w", F.col("p") + 1, length), " ").alias("window")).withColumn("h", F.xxhash64("window"))
         hit = near.join(sought, ["h", "window"]).select("doc_id", "_row", "p", (F.col("p") + length).alias("e"), "item_id")
         found = hit if found is None else found.unionByName(hit)
-    none = F.sha2(F.lit(""), 256)
+    return found
+
+
+def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of docs (columns doc_id, text).
+
+    items: item_id, text. An item of fewer than span words, but not none, is one window; items without id or words match
+    nothing. Null texts have no words. Rows that repeat both doc_id and text get the same figures each; null ids are
+    kept. Empty tables, of either kind, give a defined result: no rows, or no hits. Other columns are ignored.
+    """
+    counted = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_row"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    found, none = _hits(docs, items, span, gram), F.sha2(F.lit(""), 256)
     if found is None:
         return counted.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), none.alias("items_sha256"), F.lit(False).alias("contaminated"))
     covered = F.aggregate(
@@ -115,3 +120,12 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     out = counted.join(each, F.col("_row") == F.col("_found"), "left")
     n = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select("doc_id", "n_words", n.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("items_sha256", none).alias("items_sha256"), (n > 0).alias("contaminated"))
+
+
+def clean(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """The rows of docs, with all their columns, in which no window of an item occurs."""
+    found = _hits(docs, items, span, gram)
+    if found is None:
+        return docs
+    hit = materialize(found.select(F.col("_row").alias("_hit")).distinct(), "contaminated")
+    return docs.join(hit, F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_hit"), "left_anti")

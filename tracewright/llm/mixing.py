@@ -3,9 +3,10 @@
 Targets: sources share the total by weight; one above MAX_EPOCHS times its size is clamped there and what it leaves is
 shared by weight among the rest, until none is above. As the clamped sources are those with the least capacity per
 weight, one ordered pass over the sources (not the documents) finds the level. Sampling: floor(target / size) whole
-repetitions of every document, and one more for the documents that a seeded order puts first, until they fill the
-fraction that remains. The order's running sum is taken in BUCKETS hash ranges per source, so that no source, however
-large, meets in one task.
+repetitions of every document, and one more for the documents that a seeded order puts first, as long as they fit the
+fraction that remains. FILLS rounds then fill the gap before the first document that is too large with later documents
+that are not. The order's running sum is taken in hash ranges of each source, so that no source, however large, meets in
+one task.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from .common import SPACED, materialize
 
 WEIGHTS, MAX_EPOCHS, SEED = (5, 2, 1), 3, "mix-1"
+FILLS = 4
 
 
 def water_fill(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -54,14 +56,24 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: st
 
     width = max(1, len(f"{buckets - 1:x}"))
     bucket = (F.conv(F.substring("_h", 1, width), 16, 10).cast("long") * buckets / 16**width).cast("int")
-    bucketed = sized.withColumn("_b", bucket)
-    offsets = bucketed.groupBy("source", "_b").agg(F.sum("size").alias("_in"))
-    offsets = offsets.withColumn("_offset", F.sum("_in").over(Window.partitionBy("source").orderBy("_b")) - F.col("_in")).join(plan.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
-    offsets = materialize(offsets.select(F.col("source").alias("_s"), F.col("_b").alias("_ob"), "_offset", "source_size", "target", "_whole", "_rest"), "offsets")
-    run = F.sum("size").over(Window.partitionBy("source", "_b").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0))
-    placed = bucketed.withColumn("_run", run).join(offsets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_ob")))
-    # the document across the end of the fraction is in if most of it is
-    once_more = (F.col("_offset") + F.col("_run") - F.col("size") / 2.0 <= F.col("_rest")).cast("long")
-    reps = (F.col("_whole") + F.when(F.col("_rest") > 0, once_more).otherwise(0)).cast("long")
+    left, extra, open_ = sized.withColumn("_b", bucket), None, plan.select(F.col("source").alias("_s"), F.col("_rest").alias("_gap"))
+    columns = left.columns
+    for _ in range(FILLS):
+        fits = left.join(open_, F.col("source").eqNullSafe(F.col("_s"))).withColumn("_fits", F.col("size") <= F.col("_gap"))
+        fits = fits.withColumn("_run", F.when(F.col("_fits"), F.col("size")).otherwise(0))
+        offsets = fits.groupBy("source", "_b").agg(F.sum("_run").alias("_in"))
+        offsets = offsets.select(F.col("source").alias("_o"), F.col("_b").alias("_ob"), (F.sum("_in").over(Window.partitionBy("source").orderBy("_b")) - F.col("_in")).alias("_offset"))
+        run = F.sum("_run").over(Window.partitionBy("source", "_b").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0))
+        placed = fits.withColumn("_run", run).join(offsets, F.col("source").eqNullSafe(F.col("_o")) & (F.col("_b") == F.col("_ob")))
+        placed = materialize(placed.select(*columns, "_gap", (F.col("_fits") & (F.col("_offset") + F.col("_run") <= F.col("_gap"))).alias("_in")), "filled")
+        taken = placed.where("_in").select(*columns)
+        extra = taken if extra is None else extra.unionByName(taken)
+        left = placed.where("not _in").select(*columns)
+        gone = taken.groupBy("source").agg(F.sum("size").alias("_n"))
+        open_ = open_.join(gone, F.col("source").eqNullSafe(F.col("_s")), "left").select("_s", (F.col("_gap") - F.coalesce("_n", F.lit(0))).alias("_gap"))
+        open_ = materialize(open_, "gaps")
+    placed = extra.withColumn("_once", F.lit(1)).unionByName(left.withColumn("_once", F.lit(0)))
+    placed = placed.join(plan.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
+    reps = (F.col("_whole") + F.col("_once")).cast("long")
     out = placed.withColumn("repetitions", F.least(reps, F.lit(max_epochs).cast("long")))
     return out.select("doc_id", "size", "source_size", "target", "repetitions", (F.col("repetitions") * F.col("size")).alias("taken"), *keep)

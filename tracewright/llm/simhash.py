@@ -264,3 +264,18 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS)
     lowest = groups.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = materialize(groups.join(lowest, "root").select("fp", "component_id"), "components")
     return hashed.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, whose doc_id is the least of their component.
+
+    Of rows that repeat an id one stays; rows with a null id, which cannot be told apart, all stay.
+    """
+    named = materialize(near_duplicates(docs).select("doc_id", "component_id").where("doc_id is not null"), "named")
+    gone = named.where("component_id != doc_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = materialize(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(once)

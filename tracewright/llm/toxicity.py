@@ -2,14 +2,15 @@
 
 Units are a text's words without their non-letters (so inserted signs vanish), and runs of single characters joined (so
 spaced-out words return). The kernel of two units sums, over their common subsequences of ORDER characters, DECAY to the
-power of the characters each spans, normalised; it tolerates gaps and inserted characters. Landmarks are units typical of
-toxic and of other training sentences. The machine is linear in Nystrom features; as these are kernels with fixed
-landmarks, its decision is one weight for each subsequence, which is how every unit of every text is scored. A text's score
-is that of its worst unit, calibrated on training sentences. Training sentences are a bounded sample of labelled documents.
+power of the characters each spans, normalised, to the power of DEGREE; it tolerates gaps and inserted characters.
+Landmarks are units typical of toxic and of other training sentences. The machine is linear in Nystrom features, that is
+in a unit's kernels with the landmarks. A text's score is that of its worst unit, calibrated on training sentences.
+Training sentences are a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -17,15 +18,20 @@ from functools import cache
 from itertools import combinations
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, map_texts
 from .samples import bounded_sample
 
-ORDER, DECAY = 3, 0.6
+ORDER, DECAY, DEGREE = 3, 0.6, 2
 #: Labelled documents, landmarks and units that are fitted on, at most.
-SAMPLE, LANDMARKS, UNITS = 6000, 96, 12000
+SAMPLE, LANDMARKS, UNITS = 6000, 160, 8000
+#: A unit is suspect if chance would gather it in toxic sentences less often than this.
+CHANCE = 1e-4
+#: Weight of altered units in training, against that of the units themselves.
+ALTERED = 3.0
 #: Characters of a window; longer units are read in windows that overlap by half, so no insult is cut.
 WINDOW = 16
 #: Scores of units that a worker remembers, at most.
@@ -92,24 +98,38 @@ def by_length(units: list[str]):
             yield own[k : k + step], [units[i] for i in own[k : k + step]]
 
 
-def kernels(units: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernel of each unit (of WINDOW characters at most) with each landmark."""
-    dense = np.zeros((64**3, len(landmarks)), np.float32)
-    for own, some in by_length(landmarks):
-        code, weight = subsequences(some)
-        for i, c, w in zip(own, code, weight):
-            np.add.at(dense[:, i], c, w)
-    out = np.empty((len(units), len(landmarks)))
-    for own, some in by_length(units):
-        for k in range(0, len(own), 64):
-            code, weight = subsequences(some[k : k + 64])
-            out[own[k : k + 64]] = np.einsum("us,usl->ul", weight, dense[code])
-    return out
+class Landmarks:
+    """Subsequence weights of the landmarks, a row for each subsequence that any of them has; row 0 is empty."""
+
+    def __init__(self, units: list[str]):
+        parts = [(i, c, w) for own, some in by_length(units) for i, c, w in zip(own, *subsequences(some))]
+        present = np.unique(np.concatenate([c for _, c, _ in parts]))
+        self.row = np.zeros(64**3, np.int32)
+        self.row[present] = np.arange(1, len(present) + 1)
+        self.weight = np.zeros((len(present) + 1, len(units)), np.float32)
+        for i, c, w in parts:
+            np.add.at(self.weight[:, i], self.row[c], w.astype(np.float32))
+
+    def kernels(self, units: list[str]) -> np.ndarray:
+        """Kernel of each unit (of WINDOW characters at most) with each landmark."""
+        out = np.empty((len(units), self.weight.shape[1]))
+        for own, some in by_length(units):
+            for k in range(0, len(own), 256):
+                code, weight = subsequences(some[k : k + 256])
+                row = self.row[code]
+                total = np.zeros((len(row), self.weight.shape[1]), np.float32)
+                at, which = np.nonzero((row > 0) & (weight > 0))
+                if len(at):
+                    starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+                    total[at[starts]] = np.add.reduceat(self.weight[row[at, which]] * weight[at, which, None].astype(np.float32), starts, axis=0)
+                out[own[k : k + 256]] = np.clip(total, 0, 1) ** DEGREE
+        return out
 
 
 @dataclass
 class Model:
-    table: np.ndarray  # weight of each subsequence
+    landmarks: Landmarks
+    alpha: np.ndarray  # weight of the kernel with each landmark
     bias: float
     slope: float
     offset: float
@@ -118,15 +138,32 @@ class Model:
     def decisions(self, units: list[str]) -> np.ndarray:
         pieces = [(i, w) for i, u in enumerate(units) for w in windows_of(u)]
         out = np.full(len(units), -np.inf)
-        for own, some in by_length([w for _, w in pieces]):
-            code, weight = subsequences(some)
-            np.maximum.at(out, [pieces[i][0] for i in own], (self.table[code] * weight).sum(axis=1) + self.bias)
+        np.maximum.at(out, [i for i, _ in pieces], self.landmarks.kernels([w for _, w in pieces]) @ self.alpha + self.bias)
         return out
 
     def scores(self, worst: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.offset, -30, 30)))
 
 
+def unlike(texts: list[str], signatures: int = 6) -> list[int]:
+    """Positions of texts that are no near copy of an earlier one: none of the least hashes of their word triples is the same."""
+    seen, out = set(), []
+    odd = np.array([2 * k * 0x9E3779B97F4A7C15 + 0xD1342543DE82EF95 & (1 << 64) - 1 for k in range(signatures)], np.uint64)
+    for i, t in enumerate(texts):
+        w = t.lower().split()
+        h = np.array([xxhash.xxh64_intdigest(" ".join(w[k : k + 3])) for k in range(max(1, len(w) - 2))], np.uint64)
+        least = {(k, int(x)) for k, x in enumerate((h[:, None] * odd).min(axis=0))}
+        if not least & seen:
+            out.append(i)
+        seen |= least
+    return out
+
+
+def altered(unit: str) -> list[str]:
+    """A unit with a character inserted or doubled, for training; short ones would no longer be told from others."""
+    return [v for i in range(1, len(unit)) for v in (unit[:i] + "x" + unit[i:], unit[:i] + unit[i - 1] + unit[i:])] if 5 <= len(unit) < WINDOW else []
+
+
 def _support_vectors(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 400) -> tuple[np.ndarray, float]:
     """Linear machine: squared hinge loss, Newton-like accelerated gradient; deterministic."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
@@ -140,8 +177,19 @@ def _support_vectors(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int
     return w[:-1], float(w[-1])
 
 
+def _chance(k: int, n: int, rate: float) -> float:
+    """Bound (Chernoff) on the probability of k or more of n at the given rate."""
+    share = k / n
+    if share <= rate:
+        return 1.0
+    rest = (1 - share) * math.log((1 - share) / (1 - rate)) if share < 1 else 0.0
+    return math.exp(-n * (share * math.log(share / rate) + rest))
+
+
 def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, limit: int = UNITS) -> Model | None:
     """None unless both classes occur."""
+    own = unlike(texts)
+    texts, toxic = [texts[i] for i in own], [toxic[i] for i in own]
     sets = [{w for u in units_of(t) for w in windows_of(u)} for t in texts]
     y = np.array(toxic)
     if not len(y) or y.min() == y.max():
@@ -151,8 +199,11 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, limit: i
         (bad if label else fine).update(s)
     n_bad, n_fine = int(y.sum()), int((1 - y).sum())
     odds = {u: np.log((bad[u] + 0.5) / (n_bad + 1)) - np.log((fine[u] + 0.5) / (n_fine + 1)) for u in bad}
-    # units seen in too few toxic sentences to tell count for little
-    worth = {u: o * np.sqrt(bad[u]) for u, o in odds.items() if o > 1.5 and bad[u] >= 2}
+    # what chance would hardly gather in toxic sentences
+    rate = n_bad / (n_bad + n_fine)
+    worth = {u: o * np.sqrt(bad[u]) for u, o in odds.items() if o > 2.0 and _chance(bad[u], bad[u] + fine[u], rate) < CHANCE}
+    if not worth:
+        worth = {u: odds[u] for u in sorted(odds, key=lambda u: (-odds[u] * np.sqrt(bad[u]), u))[:5] if odds[u] > 0}
     suspects = sorted(worth, key=lambda u: (-worth[u], u))
     common = sorted(fine, key=lambda u: (-fine[u], u))
     # the sentence's most suspect units stand for it; every other unit of clean sentences stands against
@@ -164,33 +215,30 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, limit: i
     if not positive:
         return None
     chosen: list[str] = []
-    for pool, most in ((suspects[:400], landmarks // 2), (common[: 4 * landmarks], landmarks)):
+    for pool, most in ((suspects[:600], landmarks * 2 // 3), (common[: 4 * landmarks], landmarks)):
         if pool:
-            near = kernels(pool, pool)
+            near = Landmarks(pool).kernels(pool) ** (1 / DEGREE)
             kept: list[int] = []
             for i in range(len(pool)):
                 if len(chosen) + len(kept) < most and (not kept or near[i, kept].max() < 0.8):
                     kept.append(i)
             chosen += [pool[i] for i in kept]
-    gram = kernels(chosen, chosen)
+    marks = Landmarks(chosen)
+    gram = marks.kernels(chosen)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     keep = values > 1e-4
     root = vectors[:, keep] / np.sqrt(values[keep])
     rest = [u for u in common if u not in positive]
     step = max(1, len(rest) // max(1, limit - min(len(rest), limit // 2)))
     negative = list(dict.fromkeys([*rest[: limit // 2], *rest[limit // 2 :: step]]))[:limit]
-    units = [*positive, *negative]
-    sign = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-    weight = np.array([np.sqrt(positive[u]) for u in positive] + [np.sqrt(fine[u]) for u in negative])
+    changed = [(v, ALTERED * np.sqrt(positive[u]) / len(vs)) for u in positive if (vs := altered(u)) for v in vs]
+    units = [*positive, *(v for v, _ in changed), *negative]
+    sign = np.array([1.0] * (len(positive) + len(changed)) + [-1.0] * len(negative))
+    weight = np.array([np.sqrt(positive[u]) for u in positive] + [c for _, c in changed] + [np.sqrt(fine[u]) for u in negative])
     for s in (1.0, -1.0):
         weight[sign == s] /= weight[sign == s].sum()
-    w, bias = _support_vectors(kernels(units, chosen) @ root, sign, weight)
-    alpha, table = root @ w, np.zeros(64**3)
-    for own, some in by_length(chosen):
-        code, value = subsequences(some)
-        for i, c, v in zip(own, code, value):
-            np.add.at(table, c, alpha[i] * v)
-    model = Model(table, bias, 1.0, 0.0, -2.0)
+    w, bias = _support_vectors(marks.kernels(units) @ root, sign, weight)
+    model = Model(marks, root @ w, bias, 1.0, 0.0, -2.0)
     every = list(set().union(*sets))
     at = dict(zip(every, model.decisions(every)))
     worst = np.array([max((at[u] for u in s), default=model.least) for s in sets])
