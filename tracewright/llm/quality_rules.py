@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from .common import drop_scratch, map_texts, materialize
 
 #: h of the estimate; steps; least documents of a group of its own; quantile of the chi-square distribution beyond which a document goes.
-SHARE, STEPS, LEAST, QUANTILE = 0.75, 4, 60, 1 - 1e-9
+SHARE, STEPS, LEAST, QUANTILE = 0.75, 4, 60, 1 - 1e-4
 #: Added to the variances: spread of each transformed statistic that is never held against a document.
-FLOORS = (0.5, 0.12, 0.25, 0.25, 0.25)
+FLOORS = (1.2, 0.25, 0.12, 0.2, 0.2)
 _DIMS = len(FLOORS)
 _FEATURES = tuple(f"_f{i}" for i in range(_DIMS))
 
