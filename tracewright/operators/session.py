@@ -1,0 +1,41 @@
+"""Session identity: md5 of the tools and opening messages of a trajectory."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from ..functions.canonical import session_text
+from ..functions.text import without_space
+
+
+def exact(df: DataFrame) -> DataFrame:
+    """df (a normalised trajectory) with session_id; null where there is nothing to hash.
+
+    The text is printed by Python, as Spark prints some numbers otherwise; an Arrow UDF gets JSON texts in batches.
+    """
+    printed = F.udf(session_text, StringType(), useArrow=True)
+    text = printed("format", F.to_json(F.to_variant_object("tools")), F.to_json(F.to_variant_object("messages")), F.to_json("response"), "system_prompt")
+    return df.withColumn("session_id", F.concat(F.lit("session_"), F.md5(text.cast("binary"))))
+
+
+def native(df: DataFrame) -> DataFrame:
+    """df with session_id from native expressions: same groups unless numbers are written differently. For chat-shaped messages."""
+    stop = F.array_position(F.transform(F.slice("messages", 2, F.greatest(F.size("messages") - 1, F.lit(0))), lambda m: F.try_variant_get(m, "$.role", "string")), "assistant")
+    opening = F.when(stop > 0, F.slice("messages", F.lit(1), stop.cast("int"))).otherwise(F.col("messages"))
+    parts = F.transform(opening, lambda m: F.concat_ws("", F.try_variant_get(m, "$.role", "string"), F.try_variant_get(m, "$.content", "string"), F.to_json(F.try_variant_get(m, "$.tool_calls", "variant"))))
+    text = without_space(F.concat(F.array_join(F.array_sort(F.transform("tools", lambda t: F.to_json(t))), ","), F.coalesce("system_prompt", F.lit("")), F.array_join(parts, "")))
+    return df.withColumn("session_id", F.when(F.size("messages") > 0, F.concat(F.lit("session_"), F.md5(text.cast("binary")))))
+
+
+def prefix_rows(turns: DataFrame, group: str, order: str, role: str) -> DataFrame:
+    """Rows of turns up to the first assistant turn; an assistant turn at the very start is included and the next ends it."""
+    w = Window.partitionBy(group)
+    first = F.min(order).over(w)
+    stop = F.min(F.when((F.col(role) == "assistant") & (F.col(order) > F.col("_first")), F.col(order))).over(w)
+    return turns.withColumn("_first", first).withColumn("_stop", stop).where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_first", "_stop")
+
+
+def session_hash(text: Column) -> Column:
+    return F.concat(F.lit("session_"), F.md5(text.cast("binary")))
