@@ -46,12 +46,12 @@ def sidecar_segment(x: Column) -> Column:
 
 
 def byte_size(n: Column) -> Column:
-    out = F.when(n >= 1 << 30, F.format_string("%.1f GiB", n / float(1 << 30))).when(n >= 1 << 20, F.format_string("%.1f MiB", n / float(1 << 20)))
-    return out.when(n >= 1 << 10, F.format_string("%.1f KiB", n / 1024.0)).otherwise(F.concat(n.cast("string"), F.lit(" B")))
+    out = F.when(n >= 1 << 30, F.format_string("%.1f GiB", F.bround(n / float(1 << 30), 1))).when(n >= 1 << 20, F.format_string("%.1f MiB", F.bround(n / float(1 << 20), 1)))
+    return out.when(n >= 1 << 10, F.format_string("%.1f KiB", F.bround(n / 1024.0, 1))).otherwise(F.concat(n.cast("string"), F.lit(" B")))
 
 
 def percent(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, F.format_string("%.1f%%", part * 100.0 / F.when(whole > 0, whole))).otherwise("—")
+    return F.when(whole > 0, F.format_string("%.1f%%", F.bround(part * 100.0 / F.when(whole > 0, whole), 1))).otherwise("—")
 
 
 def table_cell(x: Column) -> Column:
