@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("_row"))
     taken = mixing.mix(keyed, keep=("_row",)).groupBy("_row").agg(F.max("repetitions").alias("repetitions"))
     taken = materialize(taken.where("repetitions > 0"), "taken")
-    repeated = keyed.join(taken, "_row")
+    repeated = keyed.join(taken.hint("shuffle_hash"), "_row")
     return repeated.select(*COLUMNS, "repetitions", F.explode(F.sequence(F.lit(1), F.col("repetitions").cast("int"))).alias("epoch"))
 
 

@@ -273,7 +273,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     named = materialize(near_duplicates(docs).select("doc_id", "component_id").where("doc_id is not null"), "named")
     gone = named.where("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # each text moves once at any size; the ids are the side that is held, a partition at a time
+    kept = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
     again = materialize(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if again.isEmpty():
         return kept
