@@ -48,7 +48,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: st
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     size = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(SPACED), F.lit(0))), F.lit(0)).cast("long")
     size = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(size)
-    sized = materialize(docs.select("doc_id", "source", size.alias("size"), h.alias("_h"), *keep), "sizes")
+    sized = materialize(docs.select("doc_id", "source", size.alias("size"), h.alias("_h"), *(k for k in keep if k != "source")), "sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = water_fill(sizes, weights, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")

@@ -36,7 +36,7 @@ ALTERED = 3.0
 WINDOW = 16
 #: Scores of units that a worker remembers, at most.
 REMEMBER = 300_000
-_SPACED_OUT = re.compile(r"(?:(?<=\s)|^)(?:\S[ \t]{1,3}){3,}\S(?=\s|$)")
+_SPACED_OUT = re.compile(r"(?<!\S)(?:\w[ \t]{1,3}){3,}\w(?!\w)")
 _STRIP = re.compile(r"[\W\d_]+")
 
 
@@ -146,14 +146,14 @@ class Model:
 
 
 def unlike(texts: list[str], signatures: int = 6) -> list[int]:
-    """Positions of texts that are no near copy of an earlier one: none of the least hashes of their word triples is the same."""
+    """Positions of texts that are no near copy of earlier ones: fewer than two thirds of the least hashes of their word triples came before."""
     seen, out = set(), []
     odd = np.array([2 * k * 0x9E3779B97F4A7C15 + 0xD1342543DE82EF95 & (1 << 64) - 1 for k in range(signatures)], np.uint64)
     for i, t in enumerate(texts):
         w = t.lower().split()
         h = np.array([xxhash.xxh64_intdigest(" ".join(w[k : k + 3])) for k in range(max(1, len(w) - 2))], np.uint64)
         least = {(k, int(x)) for k, x in enumerate((h[:, None] * odd).min(axis=0))}
-        if not least & seen:
+        if 3 * len(least & seen) < 2 * signatures:
             out.append(i)
         seen |= least
     return out
