@@ -232,13 +232,13 @@ _MANIFEST_SQL = "m AS (SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS pre_
 
 
 @query(
-    f"WITH {_DAY_SQL}, {_MANIFEST_SQL} SELECT d.date, d.scanned, d.trace_valid, m.pre_filter, coalesce(m.gone, 0) AS discarded_unknown_session, CAST(coalesce(nullif(m.kept, 0), greatest(d.trace_valid - coalesce(m.gone, 0), 0)) AS BIGINT) AS kept_after_quality_filter FROM day d LEFT JOIN m USING (date)"
+    f"WITH {_DAY_SQL}, {_MANIFEST_SQL} SELECT d.date, d.scanned, d.trace_valid, coalesce(m.pre_filter, 0) AS pre_filter, coalesce(m.gone, 0) AS discarded_unknown_session, CAST(coalesce(nullif(m.kept, 0), greatest(d.trace_valid - coalesce(m.gone, 0), 0)) AS BIGINT) AS kept_after_quality_filter FROM day d LEFT JOIN m USING (date)"
 )
 def a11_day_left_join(spark, sf_dir):
     e = table(spark, sf_dir, "events").where(F.dayofmonth("ts") % 2 == 0).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date"))
     kept = F.when(F.dayofmonth(F.min("ts")) % 3 == 0, 0).otherwise(F.count_if(F.col("user_id") % 10 != 0))
     m = e.agg(F.count("*").alias("pre_filter"), F.count_if(F.col("user_id") % 10 == 0).alias("discarded_unknown_session"), kept.alias("kept_after_quality_filter"))
-    return merge.per_day(_days(spark, sf_dir), m).drop("elapsed_seconds")
+    return merge.per_day(_days(spark, sf_dir), m).drop("elapsed_seconds").withColumn("pre_filter", F.coalesce("pre_filter", F.lit(0)))
 
 
 @query("SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS pre_filter, count(*) FILTER (WHERE user_id % 7 = 0) AS discarded_unknown_session, count(*) FILTER (WHERE user_id % 7 <> 0) AS kept_after_quality_filter FROM events GROUP BY 1")
@@ -406,13 +406,13 @@ def n15_norm(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.folded(F.col("text")).alias("folded"))
 
 
-@query("SELECT event_id, event_id % 5 <> 0 AND props IS NOT NULL AS is_object, CASE WHEN event_id % 5 <> 0 THEN CAST(regexp_extract(props, ':\\s*(-?\\d+)', 1) AS BIGINT) END AS k FROM events")
+@query("SELECT event_id, event_id % 5 <> 0 AND props IS NOT NULL AS is_object, CASE WHEN event_id % 5 <> 0 THEN CAST(regexp_extract(props, ':\\s*(-?\\d+)', 1) AS BIGINT) ELSE -1 END AS k FROM events")
 def s10_json_object(spark, sf_dir):
     """Strict parsing: text after the object makes a line no object."""
     line = F.when(F.col("event_id") % 5 == 0, F.concat("props", F.lit(" x"))).otherwise(F.col("props"))
     v = jsonx.parse(line)
     df = table(spark, sf_dir, "events").select("event_id", v.alias("v"))
-    return df.select("event_id", jsonx.is_object(F.col("v")).alias("is_object"), F.try_variant_get("v", "$.k", "bigint").alias("k"))
+    return df.select("event_id", jsonx.is_object(F.col("v")).alias("is_object"), F.coalesce(F.try_variant_get("v", "$.k", "bigint"), F.lit(-1)).alias("k"))
 
 
 _NAMES = ("a/b.jsonl", "../evil.jsonl", "/abs.jsonl", "c:x.jsonl", "x.txt", "a\\..\\b.jsonl", "ok.jsonl")
@@ -469,11 +469,11 @@ def e3_cwd(spark, sf_dir):
     return df.select("doc_id", export.guess_cwd(F.col("record")).alias("cwd"))
 
 
-@query("SELECT conv_id, CASE WHEN conv_id % 2 = 0 OR conv_id % 3 = 0 THEN CAST(CASE WHEN conv_id % 2 = 0 THEN conv_id ELSE 0 END + CASE WHEN conv_id % 3 = 0 THEN 7 ELSE 0 END AS BIGINT) END AS total_tokens FROM (SELECT DISTINCT conv_id FROM conversations)")
+@query("SELECT conv_id, CASE WHEN conv_id % 2 = 0 OR conv_id % 3 = 0 THEN CAST(CASE WHEN conv_id % 2 = 0 THEN conv_id ELSE 0 END + CASE WHEN conv_id % 3 = 0 THEN 7 ELSE 0 END AS BIGINT) ELSE -1 END AS total_tokens FROM (SELECT DISTINCT conv_id FROM conversations)")
 def e7_token_count(spark, sf_dir):
     df = export.trace_events(_records(spark, sf_dir), "2025-01-01T00:00:00.000Z")
     last = F.try_element_at("events", F.lit(-1))
-    return df.select("conv_id", F.try_variant_get(last["payload"], "$.info.total_token_usage.total_tokens", "bigint").alias("total_tokens"))
+    return df.select("conv_id", F.coalesce(F.try_variant_get(last["payload"], "$.info.total_token_usage.total_tokens", "bigint"), F.lit(-1)).alias("total_tokens"))
 
 
 @query("WITH i AS (SELECT conv_id, turn, role FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id, role, left(text, 120) ORDER BY turn) = 1) SELECT conv_id, count(*) AS messages_count, arg_max(role, turn) FILTER (WHERE role IN ('assistant', 'model', 'tool')) AS last_relevant_role, 'valid' AS route FROM i GROUP BY conv_id")
@@ -552,3 +552,202 @@ def k2_route(spark, sf_dir):
 def l1_limit_records(spark, sf_dir):
     """A limit on records in scan order."""
     return table(spark, sf_dir, "events").orderBy("ts", "event_id").limit(100).select("event_id", "user_id")
+
+
+def _json(**parts) -> Column:
+    return F.to_json(F.struct(*((v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in parts.items())))
+
+
+def _variant(**parts) -> Column:
+    return F.to_variant_object(F.struct(*((v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in parts.items())))
+
+
+def _docs(spark, sf_dir) -> DataFrame:
+    """doc_id, d (as text) and t, the first forty characters."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("d"), F.left("text", F.lit(40)).alias("t"))
+
+
+@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'mine' WHEN 1 THEN 'asked' ELSE '' END AS model, 'openai_responses' AS call_type, 'r' || doc_id AS request_id, CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE -1 END AS input_tokens FROM documents")
+def p2_unwrap_record(spark, sf_dir):
+    """The request's own model, else the envelope's; keys that the engine adds win over the request's."""
+    k = F.col("doc_id") % 3
+    request = F.when(k == 0, _json(model="mine", call_type="x")).otherwise(_json(model="", call_type="x"))
+    e = _variant(request=request, response='{"object":"response"}', requested_model=F.when(k == 1, "asked"), request_id=F.concat(F.lit("r"), "d"), input=F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")))
+    df = response.unwrap(_docs(spark, sf_dir).select("doc_id", e.alias("envelope")))
+    get = lambda path, kind="string": F.try_variant_get("record", path, kind)
+    return df.select("doc_id", get("$.model").alias("model"), get("$.call_type").alias("call_type"), get("$._provenance.request_id").alias("request_id"), F.coalesce(get("$._provenance.input_tokens", "bigint"), F.lit(-1)).alias("input_tokens"))
+
+
+@query("SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'a' WHEN 1 THEN 'response' WHEN 2 THEN 'c' WHEN 3 THEN 'd' END AS id, CASE WHEN doc_id % 7 IN (0, 2, 3, 5) THEN 'completed' WHEN doc_id % 7 = 1 THEN 'completed' END AS status FROM documents")
+def p3_dispatch(spark, sf_dir):
+    """Which of the shapes a response text has."""
+    texts = (
+        '{"object":"response","id":"a","status":"completed"}',
+        'event: response.completed\ndata: {"response":{"id":"response","status":"completed"}}',
+        '{"object":"chat.completion","id":"c","choices":[]}',
+        '{"object":"chat.completion.chunk","id":"d","choices":[]}',
+        '{"object":"other"}',
+        '{"object":"response.compaction","output":[]}',
+        "plain words",
+    )
+    df = response.parse_responses(_docs(spark, sf_dir).select("doc_id", _pick(texts, F.col("doc_id")).alias("s")), "s")
+    return df.select("doc_id", F.try_variant_get("response", "$.id", "string").alias("id"), F.try_variant_get("response", "$.status", "string").alias("status"))
+
+
+@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'data: ' || doc_id WHEN 1 THEN ' ping' ELSE 'data: x' END AS stream FROM documents")
+def p4_stream_comments(spark, sf_dir):
+    k = F.col("doc_id") % 3
+    s = F.when(k == 0, F.concat(F.lit(" : ping\n: pong\n\n\n: more\n\ndata: "), "d")).when(k == 1, ":: ping").otherwise("data: x")
+    return _docs(spark, sf_dir).select("doc_id", response.without_comments(s).alias("stream"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'm' || doc_id END AS model, CASE WHEN doc_id % 3 = 0 THEN 'incomplete' ELSE 'completed' END AS status, CAST(CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 2 END AS BIGINT) AS n_items FROM documents")
+def p6_event_stream(spark, sf_dir):
+    """Finished items count; only without any does the completed snapshot's output."""
+    d, said = F.col("doc_id"), lambda kind, body: F.concat(F.lit(f"event: {kind}\ndata: "), body, F.lit("\n\n"))
+    item = lambda name: said("response.output_item.done", _json(type="response.output_item.done", item=F.struct(F.lit("function_call").alias("type"), F.lit(name).alias("name"))))
+    begun = F.when(d % 2 == 0, said("response.created", F.to_json(F.struct(F.lit("response.created").alias("type"), F.struct(F.concat(F.lit("m"), "d").alias("model")).alias("response"))))).otherwise("")
+    ended = F.when(d % 3 == 0, said("response.completed", _json(response=F.struct(F.lit("incomplete").alias("status"), F.array(F.struct(F.lit("message").alias("type"))).alias("output"))))).otherwise(F.when(d % 5 == 0, said("response.completed", _json(response=F.struct(F.lit("completed").alias("status"), F.array(F.struct(F.lit("message").alias("type"))).alias("output"))))).otherwise(""))
+    items = F.when(d % 5 == 0, "").otherwise(F.concat(item("a"), item("b")))
+    df = response.parse_responses(_docs(spark, sf_dir).select("doc_id", F.concat(begun, items, ended, F.lit("event: response.created\n")).alias("s")), "s")
+    out = jsonx.items(jsonx.field(F.col("response"), "output"))
+    return df.select("doc_id", F.try_variant_get("response", "$.model", "string").alias("model"), F.try_variant_get("response", "$.status", "string").alias("status"), F.size(out).cast("long").alias("n_items"))
+
+
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'output_text' WHEN 1 THEN 'text' WHEN 2 THEN 'reasoning,function_call' ELSE '' END AS kinds, CASE WHEN doc_id % 5 = 0 THEN 'incomplete' ELSE 'completed' END AS status FROM documents")
+def p9_completion(spark, sf_dir):
+    """A chat completion's message as output items; text hides calls."""
+    k = F.col("doc_id") % 4
+    calls = '"tool_calls":[{"id":"1","function":{"name":"f","arguments":"{}"}}]'
+    bodies = (f'{{"content":"hi",{calls}}}', '{"content":["s",{"type":"text","text":"x"}]}', f'{{"content":null,"reasoning_content":"r",{calls}}}', "{}")
+    finish = F.when(F.col("doc_id") % 5 == 0, "length").otherwise("stop")
+    s = F.concat(F.lit('{"object":"chat.completion","choices":[{"finish_reason":"'), finish, F.lit('","message":'), _pick(bodies, k), F.lit("}]}"))
+    df = response.parse_responses(_docs(spark, sf_dir).select("doc_id", s.alias("s")), "s")
+    kinds = F.transform(jsonx.items(jsonx.field(F.col("response"), "output")), lambda x: F.try_variant_get(x, "$.type", "string"))
+    return df.select("doc_id", F.array_join(kinds, ",").alias("kinds"), F.try_variant_get("response", "$.status", "string").alias("status"))
+
+
+@query("SELECT doc_id, CASE doc_id % 2 WHEN 0 THEN 'b' || doc_id ELSE 'inner' END AS id FROM documents")
+def p11_data_lines(spark, sf_dir):
+    """A stream of whole responses without event names: the last one holds."""
+    last = F.when(F.col("doc_id") % 2 == 0, _json(object="response", id=F.concat(F.lit("b"), "d"))).otherwise('{"response":{"id":"inner"}}')
+    s = F.concat(F.lit('data: {"object":"response","id":"a"}\n\ndata: broken\n\ndata: '), last, F.lit("\n\ndata: [DONE]"))
+    df = response.parse_responses(_docs(spark, sf_dir).select("doc_id", s.alias("s")), "s")
+    return df.select("doc_id", F.try_variant_get("response", "$.id", "string").alias("id"))
+
+
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'anthropic_messages' WHEN 1 THEN 'bedrock_converse' WHEN 2 THEN 'openai_chat' ELSE 'openai_responses' END AS format, 'm' || doc_id AS model, CAST(CASE doc_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 0 END AS BIGINT) AS n_tools, CAST(CASE WHEN doc_id % 4 = 3 THEN 1 ELSE 2 END AS BIGINT) AS n_messages, 'told' AS system_prompt FROM documents")
+def n7_extract(spark, sf_dir):
+    """Four platforms' records as trajectories."""
+    said = '"messages":[{"role":"system","content":"told"},{"role":"user","content":"x"}]'
+    shapes = (
+        f'{{"response":{{"type":"message","model":"@"}},"tools":[{{}}],{said}}}',
+        f'{{"response":{{"stopReason":"x"}},"modelId":"@","toolConfig":{{"tools":[1,2]}},{said}}}',
+        f'{{"response":{{"object":"chat.completion"}},"model":"@","tools":[],"functions":[1,2,3],{said}}}',
+        '{"response":{"object":"response"},"model":"@","input":"ask","instructions":[{"text":"told"},{"text":""}]}',
+    )
+    r = F.parse_json(F.replace(_pick(shapes, F.col("doc_id")), F.lit("@"), F.concat(F.lit("m"), "d")))
+    df = normalize.normalize(_docs(spark, sf_dir).select("doc_id", r.alias("record")))
+    return df.select("doc_id", "format", "model", F.col("n_tools").cast("long").alias("n_tools"), F.col("n_messages").cast("long").alias("n_messages"), "system_prompt")
+
+
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN left(text, 40) WHEN 1 THEN left(text, 40) || chr(10) || 'two' WHEN 2 THEN '' ELSE left(text, 40) || chr(10) || 'o' END AS joined FROM documents WHERE text <> ''")
+def n10_content_text(spark, sf_dir):
+    """Content of a message: text, blocks of several keys, nothing."""
+    t = F.col("t")
+    block = lambda **kw: F.struct(*((kw[k] if isinstance(kw.get(k), Column) else F.lit(kw.get(k)).cast("string")).alias(k) for k in ("text", "output", "content")))
+    v = (
+        F.when(F.col("doc_id") % 4 == 0, t.cast("variant"))
+        .when(F.col("doc_id") % 4 == 1, F.to_variant_object(F.array(block(text=t, output="no"), block(text=""), block(content="two"))))
+        .when(F.col("doc_id") % 4 == 2, F.parse_json(F.lit("null")))
+        .otherwise(F.to_variant_object(F.array(block(text=t), block(output="o", content="c"))))
+    )
+    return _docs(spark, sf_dir).where("t <> ''").select("doc_id", v.alias("v")).select("doc_id", normalize.content_text(F.col("v")).alias("joined"))
+
+
+@query("""SELECT doc_id, 'session_' || md5(replace(replace(replace(replace('[{"function":{"description":"","name":"f","parameters":{}},"type":"function"}]' || 'systemstold' || 'user' || coalesce(left(text, 40), '') || 'tool' || 'r' || doc_id, ' ', ''), chr(10), ''), chr(13), ''), chr(9), '')) AS session_id FROM documents""")
+def h2_canonical_session(spark, sf_dir):
+    """Exact ids of conversations in typed blocks: empty blocks go, tool results become turns, the first answer ends the opening."""
+    block = lambda kind, **kw: F.struct(F.lit(kind).alias("type"), *((kw[k] if isinstance(kw.get(k), Column) else F.lit(kw.get(k)).cast("string")).alias(k) for k in ("text", "thinking", "content", "tool_use_id")))
+    first = F.to_variant_object(F.struct(F.lit("user").alias("role"), F.array(block("text", text=F.col("t")), block("text", text="(no content)"), block("tool_result", content=F.concat(F.lit("r"), "d"), tool_use_id="1")).alias("content")))
+    then = _variant(role="assistant", content="late")
+    df = _docs(spark, sf_dir).select("doc_id", F.lit("anthropic_messages").alias("format"), F.array(F.parse_json(F.lit('{"name":"f"}'))).alias("tools"), F.array(first, then).alias("messages"), F.lit(None).cast("variant").alias("response"), F.lit("s told").alias("system_prompt"))
+    return session.exact(df).select("doc_id", "session_id")
+
+
+@query("SELECT doc_id, 'session_' || md5('[]' || 'tool' || left(repeat('x', CAST(doc_id % 3 * 800 AS BIGINT)), 1000) || 'assistantreason' || CASE WHEN doc_id % 2 = 0 THEN 'end' ELSE 'open' END) AS session_id FROM documents")
+def h5_tool_cut_and_thinking(spark, sf_dir):
+    """Long tool outputs are cut; thinking is told from the answer. An assistant turn at the start is part of the opening."""
+    answer = F.when(F.col("doc_id") % 2 == 0, "<think> reason </think> so <answer> end </answer>").otherwise("<think> reason </think> open")
+    said = F.array(F.struct(F.lit("tool").alias("role"), F.repeat(F.lit("x"), (F.col("doc_id") % 3 * 800).cast("int")).alias("content")))
+    once = F.array(F.struct(F.lit("assistant").alias("role"), answer.alias("content")))
+    df = _docs(spark, sf_dir).select("doc_id", F.lit("unknown").alias("format"), F.array().cast("array<variant>").alias("tools"), F.lit(None).cast("variant").alias("response"), F.lit("").alias("system_prompt"), said.alias("a"), once.alias("b"))
+    # two ids whose texts add up: the tool's opening and the assistant's
+    from ..functions.canonical import session_text
+
+    text_of = F.udf(session_text, "string", useArrow=True)
+    parts = [text_of("format", F.lit("[]"), F.to_json(k), F.lit("{}"), F.lit("")) for k in ("a", "b")]
+    return df.select("doc_id", session.session_hash(F.concat(parts[0], F.substr(parts[1], F.lit(3)))).alias("session_id"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'r' || doc_id WHEN doc_id % 3 = 1 THEN 's' || doc_id ELSE 'unknown-session' END AS id, CASE WHEN doc_id % 2 = 0 THEN 'mine' ELSE 'gpt-5.5' END AS model FROM documents")
+def e2_session_meta(spark, sf_dir):
+    k = F.col("doc_id") % 3
+    origin = F.struct(F.when(k == 0, F.concat(F.lit("r"), "d")).alias("request_id"), F.when(k == 1, F.concat(F.lit("s"), "d")).alias("response_id"))
+    df = _docs(spark, sf_dir).select("doc_id", _variant(_provenance=origin, model=F.when(F.col("doc_id") % 2 == 0, "mine")).alias("record"))
+    df = export.trace_events(df, "2025-01-01T00:00:00.000Z").select("doc_id", F.get("events", F.lit(0))["payload"].alias("p"))
+    return df.select("doc_id", F.try_variant_get("p", "$.id", "string").alias("id"), F.try_variant_get("p", "$.model", "string").alias("model"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'input_text' ELSE 'output_text' END || ',kept,' || CASE WHEN doc_id % 2 = 0 THEN 'input_text' ELSE 'output_text' END AS kinds FROM documents")
+def e4_content_blocks(spark, sf_dir):
+    """Strings and untyped texts get the type of their role, typed blocks stay, the rest goes."""
+    v = F.parse_json(F.lit('["plain", {"type": "kept"}, {"text": "x"}, {"other": 1}, 5]'))
+    role = F.when(F.col("doc_id") % 2 == 0, "developer").otherwise("assistant")
+    df = _docs(spark, sf_dir).select("doc_id", v.alias("v"), role.alias("role"))
+    kinds = F.transform(export.content_blocks(F.col("v"), F.col("role")), lambda b: F.try_variant_get(b, "$.type", "string"))
+    return df.select("doc_id", F.array_join(kinds, ",").alias("kinds"))
+
+
+_ITEMS = (
+    '{"type":"message","role":"user","content":"x","phase":"p"}',
+    '{"type":"custom_tool_call","id":"i","name":"f"}',
+    '{"type":"function_call_output","call_id":"c","output":"o"}',
+    '{"type":"reasoning","summary":[]}',
+    '{"role":"user","content":"x"}',
+    '{"type":"web_search"}',
+    '{"type":"message","content":"x"}',
+)
+
+
+@query("SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'message' WHEN 1 THEN 'custom_tool_call' WHEN 2 THEN 'function_call_output' WHEN 3 THEN 'reasoning' WHEN 4 THEN 'message' END AS kind, CASE doc_id % 7 WHEN 1 THEN 'i' WHEN 2 THEN 'c' END AS call_id, CASE WHEN doc_id % 7 = 0 THEN 'p' END AS phase FROM documents")
+def e5_input_items(spark, sf_dir):
+    df = _docs(spark, sf_dir).select("doc_id", F.parse_json(_pick(_ITEMS, F.col("doc_id"))).alias("i")).select("doc_id", export.input_payload(F.col("i")).alias("p"))
+    return df.select("doc_id", *(F.try_variant_get("p", f"$.{k}", "string").alias(n) for k, n in (("type", "kind"), ("call_id", "call_id"), ("phase", "phase"))))
+
+
+@query("SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'message' WHEN 1 THEN 'function_call' WHEN 2 THEN 'function_call_output' WHEN 3 THEN 'reasoning' WHEN 5 THEN 'web_search' WHEN 6 THEN 'message' END AS kind, CASE doc_id % 7 WHEN 0 THEN 'user' WHEN 4 THEN 'user' WHEN 6 THEN 'assistant' END AS role FROM documents")
+def e6_output_items(spark, sf_dir):
+    df = _docs(spark, sf_dir).select("doc_id", F.parse_json(_pick(_ITEMS, F.col("doc_id"))).alias("i")).select("doc_id", export.output_payload(F.col("i")).alias("p"))
+    return df.select("doc_id", *(F.try_variant_get("p", f"$.{k}", "string").alias(n) for k, n in (("type", "kind"), ("role", "role"))))
+
+
+@query("SELECT page_id, strftime(make_date(2025, 1, CAST(page_id % 28 + 1 AS INT)), '%Y%m%d') || '/' || left(translate(url, ':/\\<>|', '______'), 180) || '.jsonl' AS path FROM pages")
+def f4_manifest_path(spark, sf_dir):
+    day = F.date_format(F.make_date(F.lit(2025), F.lit(1), (F.col("page_id") % 28 + 1).cast("int")), "yyyyMMdd")
+    return table(spark, sf_dir, "pages").select("page_id", F.concat_ws("/", day, export.trace_name(F.col("url"))).alias("path"))
+
+
+@query("SELECT doc_id, n_chars, 'document' AS kind, 5000 AS limit_bytes FROM documents WHERE n_chars > 5000")
+def s13_size_guard(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where("n_chars > 5000").select("doc_id", "n_chars", F.lit("document").alias("kind"), F.lit(5000).alias("limit_bytes"))
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, source LIMIT 20")
+def t1_top_sources(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source").limit(20)
+
+
+@query("SELECT DISTINCT role FROM conversations")
+def u2_distinct(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("role").distinct()
