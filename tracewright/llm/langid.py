@@ -17,7 +17,7 @@ from .common import fold, map_texts
 from .samples import bounded_sample
 
 #: Labelled documents that are fitted on, at most; centroids of a language; hashed n-grams of 2 and of 3 bytes.
-SAMPLE, CLUSTERS, BITS = 4000, 3, 12
+SAMPLE, CLUSTERS, BITS = 3000, 3, 12
 #: A text is rejected beyond this quantile of its cluster's training distances, times SLACK.
 REJECT, SLACK = 0.995, 1.15
 _DIMS = 256 + 2 * (1 << BITS)
@@ -79,11 +79,14 @@ def fit(texts: list[str], languages: list[str], clusters: int = CLUSTERS) -> Mod
     pairs = [(t, x) for t, x in zip(texts, languages) if has_letter(t)]
     if not pairs:
         return None
-    raw = np.stack([counts_of(t) for t, _ in pairs])
-    seen = (raw > 0).sum(axis=0)
+    x = np.empty((len(pairs), _DIMS), np.float32)
+    for i, (t, _) in enumerate(pairs):
+        x[i] = counts_of(t)
+    seen = np.count_nonzero(x, axis=0)
     model = Model((np.log((1 + len(pairs)) / (1 + seen)) + 1).astype(np.float32), np.zeros((0, _DIMS)), [], np.zeros(0))
-    x = np.log1p(raw) * model.idf
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    np.log1p(x, out=x)
+    x *= model.idf
+    x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]
     own = np.array([y for _, y in pairs], dtype=object)
     parts, radius = [], []
     for language in sorted(set(own)):
