@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cache
 from itertools import combinations
@@ -34,8 +35,8 @@ CHANCE = 1e-4
 ALTERED = 3.0
 #: Characters of a window; longer units are read in windows that overlap by half, so no insult is cut.
 WINDOW = 16
-#: Scores of units that a worker remembers, at most.
-REMEMBER = 300_000
+#: Scores of units that a worker remembers, at most; units whose kernels are held at a time.
+REMEMBER, BLOCK = 300_000, 10_000
 _SPACED_OUT = re.compile(r"(?<!\S)(?:\w[ \t]{1,3}){3,}\w(?!\w)")
 _STRIP = re.compile(r"[\W\d_]+")
 
@@ -136,27 +137,31 @@ class Model:
     least: float  # decision for a text without units
 
     def decisions(self, units: list[str]) -> np.ndarray:
-        pieces = [(i, w) for i, u in enumerate(units) for w in windows_of(u)]
+        """By blocks, so that the kernels of few units are held at a time."""
         out = np.full(len(units), -np.inf)
-        np.maximum.at(out, [i for i, _ in pieces], self.landmarks.kernels([w for _, w in pieces]) @ self.alpha + self.bias)
+        for k in range(0, len(units), BLOCK):
+            pieces = [(i, w) for i, u in enumerate(units[k : k + BLOCK], k) for w in windows_of(u)]
+            np.maximum.at(out, [i for i, _ in pieces], self.landmarks.kernels([w for _, w in pieces]) @ self.alpha + self.bias)
         return out
 
     def scores(self, worst: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.offset, -30, 30)))
 
 
-def unlike(texts: list[str], signatures: int = 6) -> list[int]:
-    """Positions of texts that are no near copy of earlier ones: fewer than two thirds of the least hashes of their word triples came before."""
-    seen, out = set(), []
-    odd = np.array([2 * k * 0x9E3779B97F4A7C15 + 0xD1342543DE82EF95 & (1 << 64) - 1 for k in range(signatures)], np.uint64)
-    for i, t in enumerate(texts):
-        w = t.lower().split()
+class Copies:
+    """Tells whether a text is a near copy of earlier ones: two thirds of the least hashes of its word triples came before."""
+
+    def __init__(self, signatures: int = 6):
+        self.seen: set[tuple[int, int]] = set()
+        self.odd = np.array([2 * k * 0x9E3779B97F4A7C15 + 0xD1342543DE82EF95 & (1 << 64) - 1 for k in range(signatures)], np.uint64)
+
+    def __contains__(self, text: str) -> bool:
+        w = text.lower().split()
         h = np.array([xxhash.xxh64_intdigest(" ".join(w[k : k + 3])) for k in range(max(1, len(w) - 2))], np.uint64)
-        least = {(k, int(x)) for k, x in enumerate((h[:, None] * odd).min(axis=0))}
-        if 3 * len(least & seen) < 2 * signatures:
-            out.append(i)
-        seen |= least
-    return out
+        least = {(k, int((h * m).min())) for k, m in enumerate(self.odd)}
+        again = 3 * len(least & self.seen) >= 2 * len(least)
+        self.seen |= least
+        return again
 
 
 def altered(unit: str) -> list[str]:
@@ -186,32 +191,34 @@ def _chance(k: int, n: int, rate: float) -> float:
     return math.exp(-n * (share * math.log(share / rate) + rest))
 
 
-def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, limit: int = UNITS) -> Model | None:
-    """None unless both classes occur."""
-    own = unlike(texts)
-    texts, toxic = [texts[i] for i in own], [toxic[i] for i in own]
-    sets = [{w for u in units_of(t) for w in windows_of(u)} for t in texts]
-    y = np.array(toxic)
+def fit(sentences: Iterable[tuple[str, int]], landmarks: int = LANDMARKS, limit: int = UNITS) -> Model | None:
+    """From texts and whether they are toxic; None unless both kinds occur. Texts are not held, only the numbers of their units."""
+    copies, number, sets, labels = Copies(), {}, [], []
+    for text, label in sentences:
+        if text not in copies:
+            sets.append(np.array(sorted({number.setdefault(w, len(number)) for u in units_of(text) for w in windows_of(u)}), np.int32))
+            labels.append(label)
+    y = np.array(labels)
     if not len(y) or y.min() == y.max():
         return None
-    bad, fine = Counter(), Counter()
-    for s, label in zip(sets, y):
-        (bad if label else fine).update(s)
+    names = list(number)
     n_bad, n_fine = int(y.sum()), int((1 - y).sum())
-    odds = {u: np.log((bad[u] + 0.5) / (n_bad + 1)) - np.log((fine[u] + 0.5) / (n_fine + 1)) for u in bad}
+    bad, fine = (np.bincount(np.concatenate([s for s, label in zip(sets, y) if label == k]), minlength=len(names)) for k in (1, 0))
+    odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((fine + 0.5) / (n_fine + 1))
     # what chance would hardly gather in toxic sentences
     rate = n_bad / (n_bad + n_fine)
-    worth = {u: o * np.sqrt(bad[u]) for u, o in odds.items() if o > 2.0 and _chance(bad[u], bad[u] + fine[u], rate) < CHANCE}
-    if not worth:
-        worth = {u: odds[u] for u in sorted(odds, key=lambda u: (-odds[u] * np.sqrt(bad[u]), u))[:5] if odds[u] > 0}
-    suspects = sorted(worth, key=lambda u: (-worth[u], u))
-    common = sorted(fine, key=lambda u: (-fine[u], u))
-    # the sentence's most suspect units stand for it; every other unit of clean sentences stands against
+    likely = [u for u in np.flatnonzero((odds > 2.0) & (bad > 0)) if _chance(int(bad[u]), int(bad[u] + fine[u]), rate) < CHANCE]
+    if not likely:
+        likely = [u for u in sorted(np.flatnonzero(bad), key=lambda u: (-odds[u] * np.sqrt(bad[u]), names[u]))[:5] if odds[u] > 0]
+    worth = np.zeros(len(names))
+    worth[likely] = odds[likely] * np.sqrt(bad[likely])
+    suspects = [names[u] for u in sorted(likely, key=lambda u: (-worth[u], names[u]))]
+    common = [names[u] for u in sorted(np.flatnonzero(fine), key=lambda u: (-fine[u], names[u]))]
+    # a sentence's most suspect units stand for it; units of clean sentences stand against
     positive = Counter()
     for s, label in zip(sets, y):
-        if label and (own := [u for u in s if u in worth]):
-            top = max(worth[u] for u in own)
-            positive.update(u for u in own if worth[u] >= 0.25 * top)
+        if label and len(s) and worth[s].max() > 0:
+            positive.update(names[u] for u in s[worth[s] >= 0.25 * worth[s].max()])
     if not positive:
         return None
     chosen: list[str] = []
@@ -234,14 +241,13 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, limit: i
     changed = [(v, ALTERED * np.sqrt(positive[u]) / len(vs)) for u in positive if (vs := altered(u)) for v in vs]
     units = [*positive, *(v for v, _ in changed), *negative]
     sign = np.array([1.0] * (len(positive) + len(changed)) + [-1.0] * len(negative))
-    weight = np.array([np.sqrt(positive[u]) for u in positive] + [c for _, c in changed] + [np.sqrt(fine[u]) for u in negative])
+    weight = np.array([np.sqrt(positive[u]) for u in positive] + [c for _, c in changed] + [np.sqrt(fine[number[u]]) for u in negative])
     for s in (1.0, -1.0):
         weight[sign == s] /= weight[sign == s].sum()
     w, bias = _support_vectors(marks.kernels(units) @ root, sign, weight)
     model = Model(marks, root @ w, bias, 1.0, 0.0, -2.0)
-    every = list(set().union(*sets))
-    at = dict(zip(every, model.decisions(every)))
-    worst = np.array([max((at[u] for u in s), default=model.least) for s in sets])
+    each = model.decisions(names)
+    worst = np.array([each[s].max() if len(s) else model.least for s in sets])
     model.slope, model.offset = _calibrated(worst, y)
     return model
 
@@ -265,8 +271,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, limit: int = SAMPLE
         part = bounded_sample(known.where(F.col("toxic") == label), F.col("doc_id"), most)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select("doc_id", "text").where("text is not null and doc_id is not null")
-    got = texts.join(chosen, "doc_id").select("text", "toxic").orderBy("doc_id", "text").collect()
-    return fit([r.text for r in got], [r.toxic for r in got])
+    return fit((r.text, r.toxic) for r in texts.join(chosen, "doc_id").select("text", "toxic").orderBy("doc_id", "text").toLocalIterator())
 
 
 def score(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:
@@ -283,9 +288,7 @@ def score(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:
             if len(known) > REMEMBER:
                 known.clear()
                 new = list(set().union(*sets))
-            for k in range(0, len(new), 20000):
-                some = new[k : k + 20000]
-                known.update(zip(some, model.decisions(some).tolist()))
+            known.update(zip(new, model.decisions(new).tolist()))
             return [model.scores(np.array([max(map(known.__getitem__, s), default=model.least) for s in sets]))]
 
         return work
