@@ -31,7 +31,8 @@ TOKEN = rf"(?<!{_RUN})(?=[0-9_+/-]*+[A-Za-z])(?=[A-Za-z_+/-]*+[0-9]){_RUN}{{16,}
 IDENTITY = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 LOCAL_PHONE = r"(?<!\+[0-9]{1,3} ?)\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9-])"
 DISGUISED = r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{2,64}+ ?[\[(]at[\])] ?[A-Za-z0-9-]{2,63}+(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]{2,63}+)++"
-CANDIDATE = "|".join((TOKEN, IDENTITY, LOCAL_PHONE, DISGUISED))
+ISSUED = rf"(?<!{_RUN})A[KS]IA[0-9A-Z]{{16}}(?!{_RUN})"
+CANDIDATE = "|".join((ISSUED, TOKEN, IDENTITY, LOCAL_PHONE, DISGUISED))
 CANDIDATE_GUARD = r"[A-Za-z0-9_+/-]{16}|[0-9]{3}-[0-9]|[\[(]at[\])]"
 
 #: Words beside which a span is likely private.
@@ -97,15 +98,15 @@ def _described(c: Column) -> Column:
     digits = F.length(F.regexp_replace(m, "[^0-9]", "")) / n
     runs = F.size(F.regexp_extract_all(m, F.lit("[0-9]+|[^0-9]+"), F.lit(0)))
     number, address = m.rlike(r"^[(0-9][0-9() -]+$"), m.rlike(r"[\[(]at[\])]")
-    known = m.rlike(r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,}|eyJ[A-Za-z0-9_-]{16,}|[0-9a-f]{16,}|[0-9A-F]{16,}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30})$") | number | address
+    known = m.rlike(r"^(A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,}|eyJ[A-Za-z0-9_-]{16,}|[0-9a-f]{16,}|[0-9A-F]{16,}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30})$") | number | address
     named = reduce(lambda a, b: a | b, (before.contains(w) for w in GAZETTEER))
     assigned = c["before"].rlike(r"[=:]\s?[\"']?$")
     votes = (
         _vote(known, m.rlike("^[a-z_-]+[0-9]{0,4}$") | m.rlike(r"[/_-].*[/_-].*[/_-]")),
         _vote(named),
         _vote(assigned, c["before"].rlike(r"[/.#]$")),
-        _vote(digits.between(0.15, 0.85) | address, ~digits.between(0.02, 0.98)),
-        _vote((runs >= 5) | number | address, runs <= 2),
+        _vote(digits.between(0.15, 0.85) | address, ~known & ~digits.between(0.02, 0.98)),
+        _vote((runs >= 5) | number | address, ~known & (runs <= 2)),
     )
     kind = F.when(address, "contact").when(m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "identity").when(number, "contact").when(m.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"), "account").otherwise("secret")
     features = (F.least(F.floor(n / 8), F.lit(7)), F.floor(digits * 4), F.least(runs, F.lit(9)), m.rlike("[A-Z]").cast("int") * 2 + m.rlike("[a-z]").cast("int"), named.cast("int"), assigned.cast("int"), known.cast("int"))
@@ -174,7 +175,7 @@ def train(docs: DataFrame, text: str = "text") -> tuple[float, list[list[float]]
 def detect(docs: DataFrame, text: str = "text", model: tuple | None = None) -> DataFrame:
     """docs with base and more: arrays of spans (s, k, e, kind), ordered; s and e in code points, end exclusive, k the kind's rank.
 
-    more holds the classifier's spans that touch no base span. Null texts have none.
+    more holds the classifier's spans that touch no base span or hold it whole. Null texts have none.
     """
     bias, weights = model or train(docs, text)
     df = docs.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
@@ -185,7 +186,7 @@ def detect(docs: DataFrame, text: str = "text", model: tuple | None = None) -> D
     df = _candidates(df, "_t")
     tables = [F.array(*(F.lit(float(x)) for x in w)) for w in weights]
     score = lambda c: reduce(lambda a, b: a + b, (F.get(t, F.get(c["f"], i)) for i, t in enumerate(tables)), F.lit(float(bias)))
-    kept = F.filter("_c", lambda c: (score(c) >= math.log(MIN_LINKED / (1 - MIN_LINKED))) & ~F.exists("base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
+    kept = F.filter("_c", lambda c: (score(c) >= math.log(MIN_LINKED / (1 - MIN_LINKED))) & ~F.exists("base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]) & ~((c["s"] <= b["s"]) & (b["e"] <= c["e"]))))
     more = F.transform(kept, lambda c: F.struct(c["s"].alias("s"), F.lit(len(BASE)).alias("k"), c["e"].alias("e"), c["kind"].alias("kind")))
     return df.withColumn("more", F.when(F.size("_c") > 0, more).otherwise(F.expr("array()").cast(f"array<{_SPAN}>"))).drop("_c", "_t")
 

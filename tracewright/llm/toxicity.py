@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -36,7 +37,7 @@ ALTERED = 3.0
 #: Characters of a window; longer units are read in windows that overlap by half, so no insult is cut.
 WINDOW = 16
 #: Scores of units that a worker remembers, at most; units whose kernels are held at a time.
-REMEMBER, BLOCK = 300_000, 10_000
+REMEMBER, BLOCK = 500_000, 10_000
 _SPACED_OUT = re.compile(r"(?<!\S)(?:\w[ \t]{1,3}){3,}\w(?!\w)")
 _STRIP = re.compile(r"[\W\d_]+")
 
@@ -274,20 +275,29 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, limit: int = SAMPLE
     return fit((r.text, r.toxic) for r in texts.join(chosen, "doc_id").select("text", "toxic").orderBy("doc_id", "text").toLocalIterator())
 
 
+#: Scores of units by the model with the number at "of"; lives as long as a Python worker, over its tasks.
+_KNOWN: dict[str, object] = {"of": None, "scores": {}}
+
+
 def score(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:
     """carry, score; 0 everywhere if nothing could be learnt."""
+    number = uuid.uuid4().hex
 
     def make():
-        known: dict[str, float] = {}
+        from tracewright.llm import toxicity
+
+        shared = toxicity._KNOWN
+        if shared["of"] != number:
+            shared.update(of=number, scores={})
 
         def work(texts):
             if model is None:
                 return [np.zeros(len(texts))]
             sets = [units_of(t) for t in texts]
+            if len(shared["scores"]) > REMEMBER:
+                shared["scores"] = {}
+            known = shared["scores"]
             new = list(set().union(*sets) - known.keys())
-            if len(known) > REMEMBER:
-                known.clear()
-                new = list(set().union(*sets))
             known.update(zip(new, model.decisions(new).tolist()))
             return [model.scores(np.array([max(map(known.__getitem__, s), default=model.least) for s in sets]))]
 
