@@ -17,7 +17,7 @@ from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cache
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import xxhash
@@ -36,7 +36,7 @@ CHANCE = 1e-4
 ALTERED = 3.0
 #: Characters of a window; longer units are read in windows that overlap by half, so no insult is cut.
 WINDOW = 16
-#: Scores of units that a worker remembers, at most; units whose kernels are held at a time.
+#: Scores of units that a worker remembers, at most; windows whose kernels are held at a time.
 REMEMBER, BLOCK = 500_000, 10_000
 _SPACED_OUT = re.compile(r"(?<!\S)(?:\w[ \t]{1,3}){3,}\w(?!\w)")
 _STRIP = re.compile(r"[\W\d_]+")
@@ -138,11 +138,10 @@ class Model:
     least: float  # decision for a text without units
 
     def decisions(self, units: list[str]) -> np.ndarray:
-        """By blocks, so that the kernels of few units are held at a time."""
-        out = np.full(len(units), -np.inf)
-        for k in range(0, len(units), BLOCK):
-            pieces = [(i, w) for i, u in enumerate(units[k : k + BLOCK], k) for w in windows_of(u)]
-            np.maximum.at(out, [i for i, _ in pieces], self.landmarks.kernels([w for _, w in pieces]) @ self.alpha + self.bias)
+        """By blocks of windows, so that the kernels of few are held at a time."""
+        out, pieces = np.full(len(units), -np.inf), ((i, w) for i, u in enumerate(units) for w in windows_of(u))
+        while some := list(islice(pieces, BLOCK)):
+            np.maximum.at(out, [i for i, _ in some], self.landmarks.kernels([w for _, w in some]) @ self.alpha + self.bias)
         return out
 
     def scores(self, worst: np.ndarray) -> np.ndarray:
