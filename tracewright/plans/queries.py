@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonx, text
 from ..operators import dedup, export, funnel, merge, normalize, response, rules, session
+from ..sources import delivery, sinks
 from .report import MEANING
+from .scratch import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -751,3 +753,42 @@ def t1_top_sources(spark, sf_dir):
 @query("SELECT DISTINCT role FROM conversations")
 def u2_distinct(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("role").distinct()
+
+
+@query("SELECT CAST(regexp_extract(props, ':\\s*(-?\\d+)', 1) AS BIGINT) AS k, count(*) AS n FROM events WHERE props IS NOT NULL GROUP BY 1")
+def s4_text_lines(spark, sf_dir):
+    """JSON lines written as compressed text, read splittably and parsed strictly."""
+    path = new_path(spark, "lines")
+    table(spark, sf_dir, "events").select("props").where("props IS NOT NULL").write.option("compression", "gzip").text(path)
+    v = jsonx.parse(F.col("raw"))
+    return delivery.text_lines(spark, path, "*.txt.gz").select(F.try_variant_get(v, "$.k", "bigint").alias("k")).groupBy("k").agg(F.count("*").alias("n"))
+
+
+@query(
+    """WITH i AS (SELECT DISTINCT conv_id, role, left(text, 120) AS k FROM conversations)
+ SELECT 'valid' AS route, 'c' || conv_id AS session_key, CAST(count(*) + 2 + CASE WHEN conv_id % 2 = 0 OR conv_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_events FROM i GROUP BY conv_id"""
+)
+def k1_trace_sink(spark, sf_dir):
+    """Trace lines through the bulk sink and back: a folder a route and session, a line an event."""
+    stamp, path = "2025-01-01T00:00:00.000Z", new_path(spark, "sink")
+    df = export.validate(export.trace_events(_records(spark, sf_dir), stamp)).withColumn("session_key", F.concat(F.lit("c"), "conv_id"))
+    sinks.bulk(export.trace_lines(df, stamp, ["route", "session_key"]), path)
+    return spark.read.text(path).groupBy("route", "session_key").agg(F.count_if(F.get_json_object("value", "$.type").isNotNull()).alias("n_events"))
+
+
+@query("SELECT doc_id, source FROM documents WHERE lang = 'en' AND source IN (SELECT source FROM documents GROUP BY source HAVING count(*) >= 10)")
+def k4_kept_rows(spark, sf_dir):
+    """Rows whose file was kept: a semi-join on the kept paths."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    kept = d.groupBy("source").count().where("count >= 10").select("source")
+    return d.where("lang = 'en'").join(kept, "source", "left_semi").select("doc_id", "source")
+
+
+@query("SELECT conv_id, CAST(count(*) AS BIGINT) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles FROM (SELECT conv_id, turn, role FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id, role, left(text, 120) ORDER BY turn) = 1) GROUP BY conv_id")
+def k9_training_rows(spark, sf_dir):
+    """Training rows of valid traces."""
+    from .clean import training_rows
+
+    df = export.validate(export.trace_events(_records(spark, sf_dir), "2025-01-01T00:00:00.000Z")).withColumn("session_key", F.col("conv_id"))
+    rows = training_rows(df)
+    return rows.select(F.col("session_key").alias("conv_id"), F.col("messages_count").cast("long").alias("n_messages"), F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"))

@@ -5,20 +5,24 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in spark.checkpoint.dir, or in a temporary folder where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tracewright-"))
+        root = spark.sparkContext.getCheckpointDir()
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to spark.checkpoint.dir (a temporary folder where that is unset) and read back.
+    """df written as Parquet to the scratch folder and read back.
 
     A filter on a column that many steps built would be rewritten in terms of the first step's input and grow without
     bound; behind a written table it stays what it is, and no later plan parses the logs again.
     """
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tracewright-"))
-        root = spark.sparkContext.getCheckpointDir()
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -146,9 +146,9 @@ def tar_warnings(spark: SparkSession, path: str, **options) -> DataFrame:
     return meta.where("jsonl_member_count != 1").withColumn("warning", F.when(F.col("jsonl_member_count") == 0, "no_safe_jsonl_member").otherwise("multiple_jsonl_members"))
 
 
-def text_lines(spark: SparkSession, path: str) -> DataFrame:
+def text_lines(spark: SparkSession, path: str, glob: str = "*.jsonl*") -> DataFrame:
     """raw, source_file of non-blank lines; gzip is read as it is. Splittable and without line numbers."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl*").text(path)
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
     return lines.select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("source_file")).where(F.trim("raw") != "")
 
 
