@@ -94,3 +94,20 @@ def test_streamed_batches_end_like_one_batch(spark, tmp_path):
     longest.keep_longest(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     got = {(r.session_id, r.ord) for r in longest.current(spark, str(tmp_path / "out")).collect()}
     assert got == {(r.session_id, r.ord) for r in dedup.winners(df, "session_id", "n_messages", ["ord"]).where("winner").collect()}
+
+
+def test_stateful_stream_emits_each_new_longest(spark, tmp_path):
+    rows = [(f"s{i % 3}", i, (i * 5) % 7) for i in range(30)]
+    df = spark.createDataFrame(rows, "session_id string, ord bigint, n_messages bigint")
+    for k in range(2):
+        df.where((F.col("ord") >= 15 * k) & (F.col("ord") < 15 * k + 15)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = longest.longest_so_far(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    q.awaitTermination()
+    best, expected = {}, set()
+    for s, o, n in rows:
+        if n > best.get(s, -1):
+            best[s] = n
+            expected.add((s, o, n))
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == expected
