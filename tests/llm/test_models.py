@@ -41,7 +41,7 @@ def test_languages_are_learnt_from_the_fold_only(spark):
 
 def test_far_texts_are_marked():
     rnd = random.Random(1)
-    model = langid.fit([sentence(rnd, 40) for _ in range(60)], ["en"] * 60)
+    model = langid.fit((sentence(rnd, 40), "en") for _ in range(60))
     v = model.vectors([sentence(rnd, 40), "žščř ěýáí ůúďťň " * 9])
     far = 1 - (v @ model.centroids.T).max(axis=1)
     assert far[0] < model.radius.max() < far[1]

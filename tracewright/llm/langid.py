@@ -7,6 +7,7 @@ centroid nearest by cosine; one farther from it than nearly all training texts o
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -74,20 +75,23 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
     return c
 
 
-def fit(texts: list[str], languages: list[str], clusters: int = CLUSTERS) -> Model | None:
-    """None without a text that has a letter."""
-    pairs = [(t, x) for t, x in zip(texts, languages) if has_letter(t)]
-    if not pairs:
+def fit(labelled: Iterable[tuple[str, str]], clusters: int = CLUSTERS) -> Model | None:
+    """From texts and their languages, of which only the vectors are held; None without a text that has a letter."""
+    rows, languages = [], []
+    for text, language in labelled:
+        if has_letter(text):
+            rows.append(counts_of(text))
+            languages.append(language)
+    if not rows:
         return None
-    x = np.empty((len(pairs), _DIMS), np.float32)
-    for i, (t, _) in enumerate(pairs):
-        x[i] = counts_of(t)
+    x = np.stack(rows)
+    del rows
     seen = np.count_nonzero(x, axis=0)
-    model = Model((np.log((1 + len(pairs)) / (1 + seen)) + 1).astype(np.float32), np.zeros((0, _DIMS)), [], np.zeros(0))
+    model = Model((np.log((1 + len(x)) / (1 + seen)) + 1).astype(np.float32), np.zeros((0, _DIMS)), [], np.zeros(0))
     np.log1p(x, out=x)
     x *= model.idf
     x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]
-    own = np.array([y for _, y in pairs], dtype=object)
+    own = np.array(languages, dtype=object)
     parts, radius = [], []
     for language in sorted(set(own)):
         mine = x[own == language]
@@ -106,8 +110,7 @@ def fit(texts: list[str], languages: list[str], clusters: int = CLUSTERS) -> Mod
 def train(docs: DataFrame, learn: Column, limit: int = SAMPLE) -> Model | None:
     """From at most limit documents where learn holds (columns doc_id, text, lang)."""
     rows = docs.select("doc_id", "text", "lang").where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    got = bounded_sample(rows, F.col("doc_id"), limit).orderBy("doc_id", "lang", "text").collect()
-    return fit([r.text for r in got], [r.lang for r in got])
+    return fit((r.text, r.lang) for r in bounded_sample(rows, F.col("doc_id"), limit).orderBy("doc_id", "lang", "text").toLocalIterator())
 
 
 def identify(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:

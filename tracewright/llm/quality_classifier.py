@@ -88,7 +88,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = PO
     n, good = known.agg(F.count("*"), F.sum((F.col("quality") == 1).cast("int"))).first()
     trusted = bounded_sample(known.where("quality = 1").select("doc_id"), F.col("doc_id"), positives)
     texts = docs.select("doc_id", "text").where("text is not null and doc_id is not null")
-    yes = [features_of(r.text) for r in texts.join(trusted, "doc_id", "left_semi").orderBy("doc_id", "text").toLocalIterator()]
+    # the sampled ids, positives at most, are the only thing broadcast; no text is shuffled to find them
+    yes = [features_of(r.text) for r in texts.join(F.broadcast(trusted), "doc_id", "left_semi").orderBy("doc_id", "text").toLocalIterator()]
     if not yes:
         return None
     rest = [features_of(r.text) for r in bounded_sample(texts, F.col("doc_id"), unlabelled, 12).orderBy("doc_id", "text").toLocalIterator()]

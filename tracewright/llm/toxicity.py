@@ -271,7 +271,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, limit: int = SAMPLE
         part = bounded_sample(known.where(F.col("toxic") == label), F.col("doc_id"), most)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select("doc_id", "text").where("text is not null and doc_id is not null")
-    return fit((r.text, r.toxic) for r in texts.join(chosen, "doc_id").select("text", "toxic").orderBy("doc_id", "text").toLocalIterator())
+    # the sampled ids, limit at most, are the only thing broadcast; no text is shuffled to find them
+    return fit((r.text, r.toxic) for r in texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic").orderBy("doc_id", "text").toLocalIterator())
 
 
 #: Scores of units by the model with the number at "of"; lives as long as a Python worker, over its tasks.
