@@ -1,7 +1,7 @@
 """Session dedup: the longest record of a session stays.
 
-Windows hold only the session, length and order of a record; a payload is joined back, so a session that many records
-share moves no text through one task.
+Everything rests on aggregates by session (and length), which are partial before any shuffle, and on joins back, whose
+skew Spark splits: a session that holds a third of all records meets in no task. Order columns identify a record.
 """
 
 from __future__ import annotations
@@ -10,20 +10,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _order(keys: list[str]) -> list[Column]:
-    return [F.col(k).asc() for k in keys]
+def _rank(length: str, order: list[str]) -> Column:
+    return F.struct((-F.col(length)).alias("l"), *order)
 
 
 def winners(df: DataFrame, session: str, length: str, order: list[str]) -> DataFrame:
     """df with winner: the longest of its session, of equals the first in order."""
-    w = Window.partitionBy(session).orderBy(F.col(length).desc(), *_order(order))
-    return df.withColumn("winner", F.row_number().over(w) == 1)
+    best = df.groupBy(F.col(session).alias("_session")).agg(F.min(_rank(length, order)).alias("_best"))
+    out = df.join(best, F.col(session).eqNullSafe(F.col("_session")))
+    return out.withColumn("winner", _rank(length, order) == F.col("_best")).drop("_session", "_best")
 
 
 def dropped_in_order(df: DataFrame, session: str, length: str, order: list[str]) -> DataFrame:
-    """df with dropped: an earlier record of the session is at least as long. A longer later one replaces silently."""
-    w = Window.partitionBy(session).orderBy(*_order(order)).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("dropped", F.coalesce(F.max(length).over(w) >= F.col(length), F.lit(False)))
+    """df with dropped: an earlier record of the session is at least as long. A longer later one replaces silently.
+
+    The first record of each session and length, and from these the first of at least that length, decide: the window
+    runs over the distinct lengths of a session, not over its records.
+    """
+    first = df.groupBy(F.col(session).alias("_session"), F.col(length).alias("_length")).agg(F.min(F.struct(*order)).alias("_first"))
+    longer = Window.partitionBy("_session").orderBy(F.col("_length").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = first.withColumn("_first", F.min("_first").over(longer))
+    out = df.join(first, F.col(session).eqNullSafe(F.col("_session")) & F.col(length).eqNullSafe(F.col("_length")))
+    return out.withColumn("dropped", F.col(length).isNotNull() & (F.col("_first") < F.struct(*order))).drop("_session", "_length", "_first")
 
 
 def demoted(df: DataFrame, session: str, length: str, order: list[str]) -> DataFrame:
