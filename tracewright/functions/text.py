@@ -17,7 +17,7 @@ def strip(x: Column) -> Column:
 
 def folded(x: Column) -> Column:
     """Lower case, runs of white space as one space, none at the ends."""
-    return strip(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), rf"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), rf"{SPACE}+", " "))
 
 
 def without_space(x: Column) -> Column:
