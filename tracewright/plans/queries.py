@@ -34,6 +34,15 @@ def query(sql: str):
     return keep
 
 
+def whole(name: str, *cuts: str) -> str:
+    """SQL of a query without its cuts of the text."""
+    sql = ORACLES[name]
+    for old, new in (c.split(" -> ") for c in cuts):
+        assert old in sql
+        sql = sql.replace(old, new)
+    return sql
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -301,8 +310,18 @@ def d8_first_occurrence(spark, sf_dir):
 
 @query("SELECT conv_id, array_to_string(list(turn ORDER BY turn), ',') AS turns FROM (SELECT conv_id, turn FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id, role, left(text, 3) ORDER BY turn) = 1) GROUP BY conv_id")
 def d8_in_array(spark, sf_dir):
+    return _first_turns(spark, sf_dir, 3)
+
+
+@query(whole("d8_in_array", f"left(text, 3) -> left(text, {text.KEY_CUT})"))
+def d8_in_array_whole(spark, sf_dir):
+    """By the operator's own key."""
+    return _first_turns(spark, sf_dir, text.KEY_CUT)
+
+
+def _first_turns(spark, sf_dir, cut: int) -> DataFrame:
     df = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("m"))
-    firsts = dedup.first_by_key(F.col("m"), lambda x: F.concat(x["role"], F.lit(":"), F.left(x["text"], F.lit(3))))
+    firsts = dedup.first_by_key(F.col("m"), lambda x: F.concat(x["role"], F.lit(":"), F.left(x["text"], F.lit(cut))))
     return df.select("conv_id", F.array_join(F.transform(firsts, lambda x: x["turn"].cast("string")), ",").alias("turns"))
 
 
@@ -352,7 +371,16 @@ def p5_sse_blocks(spark, sf_dir):
 @query("SELECT doc_id, CAST(2 + doc_id % 2 AS BIGINT) AS n_items, left(text, 40) AS answer, 'f' || doc_id AS last_name, CASE WHEN doc_id % 5 = 0 THEN 'incomplete' ELSE 'completed' END AS status FROM documents")
 def p8_chunk_merge(spark, sf_dir):
     """Chunk streams whose text and tool calls come in interleaved pieces."""
-    t, d = F.left("text", F.lit(40)), F.col("doc_id")
+    return _chunks_merged(spark, sf_dir, F.left("text", F.lit(40)))
+
+
+@query(whole("p8_chunk_merge", "left(text, 40) -> text"))
+def p8_chunk_merge_whole(spark, sf_dir):
+    return _chunks_merged(spark, sf_dir, F.col("text"))
+
+
+def _chunks_merged(spark, sf_dir, t: Column) -> DataFrame:
+    d = F.col("doc_id")
     delta = lambda **parts: F.concat(F.lit("data: "), F.to_json(F.struct(F.lit("chat.completion.chunk").alias("object"), F.array(F.struct(F.struct(*(v.alias(k) for k, v in parts.items() if k != "finish_reason")).alias("delta"), *(v.alias(k) for k, v in parts.items() if k == "finish_reason"))).alias("choices"))), F.lit("\n\n"))
     call = lambda i, name, args: delta(tool_calls=F.array(F.struct(F.lit(i).alias("index"), F.lit(f"id{i}").alias("id"), F.struct(name.alias("name"), F.lit(args).alias("arguments")).alias("function"))))
     second = F.when(d % 2 == 1, call(1, F.concat(F.lit("f"), d), "{}")).otherwise("")
@@ -465,7 +493,7 @@ def e1_events(spark, sf_dir):
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '/w/' || doc_id ELSE '/workspace' END AS cwd FROM documents")
 def e3_cwd(spark, sf_dir):
-    said = F.when(F.col("doc_id") % 3 == 0, F.concat(F.left("text", F.lit(50)), F.lit(" <CWD> /w/"), F.col("doc_id"), F.lit(" </cwd> <cwd>/late</cwd>"))).otherwise(F.left("text", F.lit(50)))
+    said = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" <CWD> /w/"), F.col("doc_id"), F.lit(" </cwd> <cwd>/late</cwd>"))).otherwise(F.col("text"))
     r = F.to_variant_object(F.struct(F.array(F.struct(F.lit("user").alias("role"), F.array(F.struct(F.lit("x").alias("type"), said.alias("text"))).alias("content"))).alias("input")))
     df = table(spark, sf_dir, "documents").select("doc_id", r.alias("record"))
     return df.select("doc_id", export.guess_cwd(F.col("record")).alias("cwd"))
@@ -516,6 +544,11 @@ def f7_cell(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.table_cell(F.concat(F.left("text", F.lit(60)), F.lit("|"))).alias("cell"))
 
 
+@query(whole("f7_cell", "left(text, 60) -> text"))
+def f7_cell_whole(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.table_cell(F.concat("text", F.lit("|"))).alias("cell"))
+
+
 _MEANING_SQL = ", ".join(f"('{k}', '{v}')" for k, v in MEANING.items())
 
 
@@ -564,9 +597,14 @@ def _variant(**parts) -> Column:
     return F.to_variant_object(F.struct(*((v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in parts.items())))
 
 
+def _whole_docs(spark, sf_dir) -> DataFrame:
+    """doc_id, d (as text) and t, the whole text."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("d"), F.col("text").alias("t"))
+
+
 def _docs(spark, sf_dir) -> DataFrame:
-    """doc_id, d (as text) and t, the first forty characters."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("d"), F.left("text", F.lit(40)).alias("t"))
+    """The same, with t cut to forty characters as in the SQL of the queries that read it."""
+    return _whole_docs(spark, sf_dir).withColumn("t", F.left("t", F.lit(40)))
 
 
 @query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'mine' WHEN 1 THEN 'asked' ELSE '' END AS model, 'openai_responses' AS call_type, 'r' || doc_id AS request_id, CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE -1 END AS input_tokens FROM documents")
@@ -656,6 +694,15 @@ def n7_extract(spark, sf_dir):
 @query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN left(text, 40) WHEN 1 THEN left(text, 40) || chr(10) || 'two' WHEN 2 THEN '' ELSE left(text, 40) || chr(10) || 'o' END AS joined FROM documents WHERE text <> ''")
 def n10_content_text(spark, sf_dir):
     """Content of a message: text, blocks of several keys, nothing."""
+    return _contents(_docs(spark, sf_dir))
+
+
+@query(whole("n10_content_text", "left(text, 40) -> text"))
+def n10_content_text_whole(spark, sf_dir):
+    return _contents(_whole_docs(spark, sf_dir))
+
+
+def _contents(docs: DataFrame) -> DataFrame:
     t = F.col("t")
     block = lambda **kw: F.struct(*((kw[k] if isinstance(kw.get(k), Column) else F.lit(kw.get(k)).cast("string")).alias(k) for k in ("text", "output", "content")))
     v = (
@@ -664,16 +711,25 @@ def n10_content_text(spark, sf_dir):
         .when(F.col("doc_id") % 4 == 2, F.parse_json(F.lit("null")))
         .otherwise(F.to_variant_object(F.array(block(text=t), block(output="o", content="c"))))
     )
-    return _docs(spark, sf_dir).where("t <> ''").select("doc_id", v.alias("v")).select("doc_id", normalize.content_text(F.col("v")).alias("joined"))
+    return docs.where("t <> ''").select("doc_id", v.alias("v")).select("doc_id", normalize.content_text(F.col("v")).alias("joined"))
 
 
 @query("""SELECT doc_id, 'session_' || md5(replace(replace(replace(replace('[{"function":{"description":"","name":"f","parameters":{}},"type":"function"}]' || 'systemstold' || 'user' || coalesce(left(text, 40), '') || 'tool' || 'r' || doc_id, ' ', ''), chr(10), ''), chr(13), ''), chr(9), '')) AS session_id FROM documents""")
 def h2_canonical_session(spark, sf_dir):
     """Exact ids of conversations in typed blocks: empty blocks go, tool results become turns, the first answer ends the opening."""
+    return _opening_ids(_docs(spark, sf_dir))
+
+
+@query(whole("h2_canonical_session", "left(text, 40) -> text"))
+def h2_canonical_session_whole(spark, sf_dir):
+    return _opening_ids(_whole_docs(spark, sf_dir))
+
+
+def _opening_ids(docs: DataFrame) -> DataFrame:
     block = lambda kind, **kw: F.struct(F.lit(kind).alias("type"), *((kw[k] if isinstance(kw.get(k), Column) else F.lit(kw.get(k)).cast("string")).alias(k) for k in ("text", "thinking", "content", "tool_use_id")))
     first = F.to_variant_object(F.struct(F.lit("user").alias("role"), F.array(block("text", text=F.col("t")), block("text", text="(no content)"), block("tool_result", content=F.concat(F.lit("r"), "d"), tool_use_id="1")).alias("content")))
     then = _variant(role="assistant", content="late")
-    df = _docs(spark, sf_dir).select("doc_id", F.lit("anthropic_messages").alias("format"), F.array(F.parse_json(F.lit('{"name":"f"}'))).alias("tools"), F.array(first, then).alias("messages"), F.lit(None).cast("variant").alias("response"), F.lit("s told").alias("system_prompt"))
+    df = docs.select("doc_id", F.lit("anthropic_messages").alias("format"), F.array(F.parse_json(F.lit('{"name":"f"}'))).alias("tools"), F.array(first, then).alias("messages"), F.lit(None).cast("variant").alias("response"), F.lit("s told").alias("system_prompt"))
     return session.exact(df).select("doc_id", "session_id")
 
 
