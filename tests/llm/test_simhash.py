@@ -116,3 +116,18 @@ def test_one_of_each(docs, none):
     assert len(ids) == len(set(ids)) and {i for i in ids if i != 1} == {c for i, c in named.items() if i == c and i != 1}
     assert kept.where(F.col("doc_id").isNull()).count() == 2
     assert simhash.near_duplicates(none).collect() == [] and simhash.one_of_each(none).collect() == []
+
+
+def test_one_of_each_decides_by_row(spark):
+    x, y, z, n = ("alpha beta gamma delta river stone", "song bird wind cloud tree water light", "house of the rising moon over hills", "nobody wrote this line of plain words")
+    cases = [
+        ([(3, x), (5, x), (5, y)], {(3, x), (5, y)}),
+        ([(3, x), (5, x), (5, y), (5, y), (8, y)], {(3, x), (5, y)}),
+        ([(None, n), (None, n), (None, n), (1, z)], {(None, n), (1, z)}),
+    ]
+    for rows, expected in cases:
+        kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+        assert len(kept) == len(expected) and {tuple(r) for r in kept} == expected
+    # two texts that share their least id: each is stood for, one by its next id
+    kept = [tuple(r) for r in simhash.one_of_each(spark.createDataFrame([(5, x), (5, y), (7, x), (7, y), (9, z)], "doc_id long, text string")).collect()]
+    assert sorted(i for i, _ in kept) == [5, 7, 9] and {t for _, t in kept} == {x, y, z}

@@ -48,13 +48,13 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long), a row for each row of docs."""
+def fingerprints(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """carry, fp (the fingerprint as a signed long), a row for each row of docs."""
 
     def make():
         return lambda texts: [np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)]
 
-    return map_texts(docs, ["doc_id"], make, "fp long")
+    return map_texts(docs, list(carry), make, "fp long")
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -250,6 +250,17 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _grouped(docs: DataFrame, carry: tuple[str, ...], radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """carry (doc_id among it), fp, root (the component) and component_id (its least id) for every row of docs."""
+    hashed = materialize(fingerprints(docs, carry), "fingerprints")
+    distinct = materialize(hashed.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
+    found = components(link_edges(distinct.select("fp"), radius, blocks))
+    groups = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    lowest = groups.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = materialize(groups.join(lowest, "root").select("fp", "root", "component_id"), "components")
+    return hashed.join(named, "fp").select(*carry, "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """doc_id, fingerprint, component_id for every row of docs (columns doc_id, text).
 
@@ -257,26 +268,51 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS)
     Rows with a null doc_id get a component but never name one; component_id is null if no row of the component has an id.
     An empty table gives an empty result. Other columns are ignored.
     """
-    hashed = materialize(fingerprints(docs), "fingerprints")
-    distinct = materialize(hashed.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
-    found = components(link_edges(distinct.select("fp"), radius, blocks))
-    groups = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    lowest = groups.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = materialize(groups.join(lowest, "root").select("fp", "component_id"), "components")
-    return hashed.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _grouped(docs, ("doc_id",), radius, blocks).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _representatives(pool: DataFrame) -> DataFrame:
+    """_row of the row that stands for each component of pool (root, doc_id, _row; no null ids).
+
+    Components offer their least free id and of those that offer the same the least takes it, round by round: an id
+    stands for one component at most, and a component is left without only if all its ids stand for others.
+    """
+    first = materialize(pool.groupBy("root", "doc_id").agg(F.min("_row").alias("_row")), "pool")
+    rest, taken = first, None
+    while not rest.isEmpty():
+        offers = rest.groupBy("root").agg(F.min("doc_id").alias("doc_id"))
+        won = materialize(offers.groupBy("doc_id").agg(F.min("root").alias("root")), "won")
+        taken = won if taken is None else taken.unionByName(won)
+        rest = materialize(rest.join(won.select("root"), "root", "left_anti").join(won.select("doc_id"), "doc_id", "left_anti"), "pool")
+    return first.join(taken, ["root", "doc_id"]).select("_row") if taken is not None else first.select("_row")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, whose doc_id is the least of their component.
+    """The rows of docs, with all their columns, that stand for their component: that of the least id.
 
-    Of rows that repeat an id one stays; rows with a null id, which cannot be told apart, all stay.
+    An id stays once. If it repeats over different texts it stands for one of their components, and the others are stood
+    for by their next free ids. Of the rows of a component that have no id one stays.
     """
-    named = materialize(near_duplicates(docs).select("doc_id", "component_id").where("doc_id is not null"), "named")
-    gone = named.where("component_id != doc_id").select("doc_id").distinct()
-    # each text moves once at any size; the ids are the side that is held, a partition at a time
-    kept = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
-    again = materialize(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+    row = F.xxhash64("doc_id", "text")
+    named = materialize(_grouped(docs.withColumn("_row", row), ("doc_id", "_row")).drop("fp"), "named")
+    known = named.where("doc_id is not null")
+    gone = known.where("component_id != doc_id").select("_row")
+    repeats = materialize(known.groupBy("doc_id").agg(F.count("*").alias("n"), (F.min("_row") != F.max("_row")).alias("differ")).where("n > 1"), "repeated")
+    if not repeats.where("differ").isEmpty():
+        # components with an id that repeats over different rows choose among their rows; ids do not tell them apart
+        roots = materialize(known.join(repeats.where("differ"), "doc_id", "left_semi").select("root").distinct(), "contested")
+        pool = materialize(known.join(roots, "root", "left_semi"), "rows")
+        gone = known.join(roots, "root", "left_anti").where("component_id != doc_id").select("_row").unionByName(pool.join(_representatives(pool), "_row", "left_anti").select("_row"))
+    nameless = named.where("doc_id is null")
+    have = not nameless.isEmpty()
+    if have:
+        stays = nameless.groupBy("root").agg(F.min("_row").alias("_row"))
+        gone = gone.unionByName(nameless.join(stays, "_row", "left_anti").select("_row"))
+    gone = materialize(gone.distinct(), "gone")
+    # each text moves once at any size; the hashes are the side that is held, a partition at a time
+    kept = docs.withColumn("_row", row).join(gone.hint("shuffle_hash"), "_row", "left_anti")
+    if repeats.isEmpty() and not have:
+        return kept.select(docs.columns)
+    again = materialize(named.groupBy("_row").count().where("count > 1").select("_row"), "copies")
+    once = kept.join(again, "_row", "left_semi").dropDuplicates(["_row"])
+    return kept.join(again, "_row", "left_anti").unionByName(once).select(docs.columns)
