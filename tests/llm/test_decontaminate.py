@@ -73,3 +73,10 @@ def test_clean_keeps_columns_and_drops_hits(spark, docs, none):
     kept = decontaminate.clean(docs, b)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 1
     assert decontaminate.clean(none, b).count() == 0 and decontaminate.contamination(none, b).count() == 0
+
+
+def test_clean_drops_passages_of_items_without_id(spark):
+    passage = "one two three four five six seven eight nine ten eleven"
+    d = spark.createDataFrame([(1, "before " + passage + " after"), (2, "tiny item here"), (3, "nothing of it")], "doc_id long, text string")
+    b = spark.createDataFrame([(None, passage), (None, "tiny item")], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.clean(d, b).collect()] == [3]

@@ -61,7 +61,7 @@ def _settled(df: DataFrame, *names: str) -> DataFrame:
 
 def _windows(items: DataFrame, span: int, gram: int) -> DataFrame:
     """item_id, length, h, window: every window of every item."""
-    base = items.where(F.col("item_id").isNotNull()).select("item_id", words_of(F.col("text")).alias("_w")).where(F.size("_w") > 0)
+    base = items.select("item_id", words_of(F.col("text")).alias("_w")).where(F.size("_w") > 0)
     full = _settled(_least(_hashed(base.where(F.size("_w") >= span), gram), span - gram + 1).select("item_id", "_w", "_m"), "_w", "_m")
     full = full.select("item_id", "_w", F.posexplode("_m").alias("p", "h"))
     full = full.select("item_id", F.lit(span).alias("length"), "h", F.array_join(F.slice("_w", F.col("p") + 1, span), " ").alias("window"))
@@ -105,7 +105,7 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     kept. Empty tables, of either kind, give a defined result: no rows, or no hits. Other columns are ignored.
     """
     counted = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_row"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    found, none = _hits(docs, items, span, gram), F.sha2(F.lit(""), 256)
+    found, none = _hits(docs, items.where(F.col("item_id").isNotNull()), span, gram), F.sha2(F.lit(""), 256)
     if found is None:
         return counted.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), none.alias("items_sha256"), F.lit(False).alias("contaminated"))
     covered = F.aggregate(
@@ -123,7 +123,7 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
 
 
 def clean(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """The rows of docs, with all their columns, in which no window of an item occurs."""
+    """The rows of docs, with all their columns, in which no window of an item occurs, whether the item has an id or not."""
     found = _hits(docs, items, span, gram)
     if found is None:
         return docs
