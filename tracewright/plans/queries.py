@@ -512,9 +512,26 @@ def e8_validate(spark, sf_dir):
     return df.select("conv_id", F.col("messages_count").cast("long").alias("messages_count"), "last_relevant_role", "route")
 
 
+def _said(role: Column) -> Column:
+    return F.to_variant_object(F.struct(F.lit("message").alias("type"), role.alias("role")))
+
+
+def _traces(spark, sf_dir, payload: Column) -> DataFrame:
+    """conv_id and events: session_meta, then the payload of each turn unless it is null; with roles, that of the conversation."""
+    said = F.array_sort(F.collect_list(F.struct("turn", "role")))
+    df = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(said.alias("m"), F.collect_set("role").alias("roles"))
+    rows = df.select("conv_id", "roles", F.posexplode_outer("m").alias("i", "x")).select("conv_id", "roles", "i", F.col("x.role").alias("role"))
+    event = lambda kind, p: F.struct(F.lit(kind).alias("type"), p.alias("payload"))
+    rows = rows.select("conv_id", "i", event("response_item", payload).alias("e"))
+    items = F.transform(F.array_sort(F.collect_list(F.struct("i", F.to_json(F.col("e.payload")).alias("p")))), lambda x: event("response_item", F.parse_json(x["p"])))
+    meta = F.array(event("session_meta", F.parse_json(F.lit("{}"))))
+    return rows.groupBy("conv_id").agg(items.alias("items")).select("conv_id", F.concat(meta, F.filter("items", lambda e: e["payload"].isNotNull())).alias("events"))
+
+
 @query("SELECT conv_id, arg_max(role, turn) FILTER (WHERE role IN ('assistant', 'model', 'tool')) AS last_role FROM conversations GROUP BY conv_id")
 def e9_last_role(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.max_by("role", F.when(F.col("role").isin("assistant", "model", "tool"), F.col("turn"))).alias("r"), F.count_if(F.col("role").isin("assistant", "model", "tool")).alias("n")).select("conv_id", F.when(F.col("n") > 0, F.col("r")).alias("last_role"))
+    df = export.validate(_traces(spark, sf_dir, _said(F.col("role"))))
+    return df.select("conv_id", F.col("last_relevant_role").alias("last_role"))
 
 
 @query("SELECT page_id, left(translate(url || '|' || url, ':/\\<>|', '______'), 180) AS name FROM pages")
@@ -579,8 +596,10 @@ def u1_union(spark, sf_dir):
 
 @query("SELECT conv_id, CASE WHEN count(*) FILTER (WHERE role IN ('assistant', 'tool')) = 0 THEN 'invalid' WHEN arg_max(role, turn) = 'assistant' THEN 'valid' ELSE 'incomplete' END AS route FROM conversations GROUP BY conv_id")
 def k2_route(spark, sf_dir):
-    df = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count_if(F.col("role").isin("assistant", "tool")).alias("n"), F.max_by("role", "turn").alias("last"))
-    return df.select("conv_id", F.when(F.col("n") == 0, "invalid").when(F.col("last") == "assistant", "valid").otherwise("incomplete").alias("route"))
+    """Turns of others than the assistant as tool outputs; no item at all without an assistant or a tool."""
+    output = F.to_variant_object(F.struct(F.lit("function_call_output").alias("type")))
+    shown = F.when(F.arrays_overlap("roles", F.array(F.lit("assistant"), F.lit("tool"))), F.when(F.col("role") == "assistant", _said(F.col("role"))).otherwise(output))
+    return export.validate(_traces(spark, sf_dir, shown)).select("conv_id", "route")
 
 
 @query("SELECT event_id, user_id FROM events ORDER BY ts, event_id LIMIT 100")
@@ -798,7 +817,8 @@ def f4_manifest_path(spark, sf_dir):
 
 @query("SELECT doc_id, n_chars, 'document' AS kind, 5000 AS limit_bytes FROM documents WHERE n_chars > 5000")
 def s13_size_guard(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("n_chars > 5000").select("doc_id", "n_chars", F.lit("document").alias("kind"), F.lit(5000).alias("limit_bytes"))
+    lines = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source_file"), F.when(F.col("n_chars") > 5000, "document").alias("problem"), F.col("n_chars").alias("size_bytes"))
+    return delivery.size_warnings(lines, 5000).select(F.col("source_file").alias("doc_id"), F.col("size_bytes").alias("n_chars"), "kind", "limit_bytes")
 
 
 @query("SELECT source, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, source LIMIT 20")
