@@ -39,6 +39,19 @@ def test_languages_are_learnt_from_the_fold_only(spark):
     assert langid.language_report(unlabelled).first().lang_pred == "und"
 
 
+def test_rare_language_is_learnt(spark):
+    rnd = random.Random(5)
+    data = [(i, sentence(rnd, 12, SPANISH if i % 200 == 7 else WORDS), "es" if i % 200 == 7 else "en") for i in range(2000)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = langid.language_report(df, limit=20).collect()
+    assert all(r.lang_pred == ("es" if r.doc_id % 200 == 7 else "en") for r in got)
+    from tracewright.llm.samples import bounded_sample_each, shares
+
+    assert shares({"a": 2, "b": 100, "c": 50}, 30) == {"a": 2, "b": 14, "c": 14}
+    taken = [r.lang for r in bounded_sample_each(df, F.col("doc_id"), "lang", 12).collect()]
+    assert taken.count("es") == 6 and taken.count("en") == 6
+
+
 def test_far_texts_are_marked():
     rnd = random.Random(1)
     model = langid.fit((sentence(rnd, 40), "en") for _ in range(60))

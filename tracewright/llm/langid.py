@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, map_texts
-from .samples import bounded_sample
+from .samples import bounded_sample_each
 
-#: Labelled documents that are fitted on, at most; centroids of a language; hashed n-grams of 2 and of 3 bytes.
+#: Labelled documents that are fitted on, at most, shared out over the languages; centroids of a language; hashed n-grams of 2 and of 3 bytes.
 SAMPLE, CLUSTERS, BITS = 3000, 3, 12
 #: A text is rejected beyond this quantile of its cluster's training distances, times SLACK.
 REJECT, SLACK = 0.995, 1.15
@@ -108,9 +108,9 @@ def fit(labelled: Iterable[tuple[str, str]], clusters: int = CLUSTERS) -> Model
 
 
 def train(docs: DataFrame, learn: Column, limit: int = SAMPLE) -> Model | None:
-    """From at most limit documents where learn holds (columns doc_id, text, lang)."""
+    """From at most limit documents where learn holds (columns doc_id, text, lang), of every language as many as of others or all."""
     rows = docs.select("doc_id", "text", "lang").where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    return fit((r.text, r.lang) for r in bounded_sample(rows, F.col("doc_id"), limit).orderBy("doc_id", "lang", "text").toLocalIterator())
+    return fit((r.text, r.lang) for r in bounded_sample_each(rows, F.col("doc_id"), "lang", limit).orderBy("doc_id", "lang", "text").toLocalIterator())
 
 
 def identify(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:

@@ -15,3 +15,28 @@ def bounded_sample(rows: DataFrame, key: Column, limit: int, seed: int = 11) ->
     h = F.xxhash64(F.lit(seed), key)
     last = rows.select(h.alias("h")).orderBy("h").limit(limit).agg(F.max("h")).first()[0]
     return rows.where(h <= (F.lit(last) if last is not None else F.lit(-(1 << 63))))
+
+
+def shares(sizes: dict[str, int], limit: int) -> dict[str, int]:
+    """Rows that each kind gives, limit in all: small kinds give all they have, the others alike."""
+    out, left = {}, limit
+    for k, name in enumerate(sorted(sizes, key=lambda x: (sizes[x], x))):
+        out[name] = min(sizes[name], max(1, left // (len(sizes) - k)))
+        left -= out[name]
+    return out
+
+
+def bounded_sample_each(rows: DataFrame, key: Column, kind: str, limit: int, seed: int = 11) -> DataFrame:
+    """As bounded_sample, but limit is shared out over the values of kind (the limit most frequent, if there are more)."""
+    h = F.xxhash64(F.lit(seed), key)
+    sizes = {r[0]: r[1] for r in rows.groupBy(kind).count().orderBy(F.desc("count"), kind).limit(limit).collect()}
+    if not sizes:
+        return rows.limit(0)
+    # hashes are even, so the lowest are sought among about twice as many as are wanted
+    bound = lambda k, n: (1 << 63) - 1 if 2 * k + 100 >= n else -(1 << 63) + (1 << 64) * (2 * k + 100) // n
+    wanted = rows.sparkSession.createDataFrame([(x, k, bound(k, sizes[x])) for x, k in shares(sizes, limit).items()], f"{kind} string, _wanted int, _bound long")
+    near = rows.select(kind, h.alias("_h")).join(F.broadcast(wanted), kind).where("_h <= _bound")
+    last = near.groupBy(kind).agg(F.array_sort(F.collect_list("_h")).alias("_a"), F.max("_wanted").alias("_wanted"))
+    last = last.select(kind, F.element_at("_a", F.least("_wanted", F.size("_a"))).alias("_last"))
+    last = rows.sparkSession.createDataFrame(last.collect(), f"{kind} string, _last long")
+    return rows.join(F.broadcast(last), kind).where(h <= F.col("_last")).select(rows.columns)
