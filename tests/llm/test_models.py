@@ -134,6 +134,12 @@ def test_units():
     assert "".join(dict.fromkeys("".join(toxicity.windows_of("abcdefghijklmnopqrstuvwxyz")))) == "abcdefghijklmnopqrstuvwxyz"
 
 
+def test_no_window_cuts_an_insult():
+    for at in range(30):
+        unit = "q" * at + "disgustingness"[:13] + "q" * 20
+        assert any("disgustingness"[:13] in w for w in toxicity.windows_of(unit))
+
+
 def test_token_counts(spark, docs, none):
     encode = tokencount.encoder().encode_ordinary
     lengths = [len(encode(r[1])) if r[1] else 0 for r in corpus()]

@@ -34,8 +34,8 @@ SAMPLE, LANDMARKS, UNITS = 6000, 160, 8000
 CHANCE = 1e-4
 #: Weight of altered units in training, against that of the units themselves.
 ALTERED = 3.0
-#: Characters of a window; longer units are read in windows that overlap by half, so no insult is cut.
-WINDOW = 16
+#: Characters of a window; longer units are read in windows that begin every STEP characters, so no insult of up to 13 is cut.
+WINDOW, STEP = 16, 4
 #: Scores of units that a worker remembers, at most; windows whose kernels are held at a time.
 REMEMBER, BLOCK = 500_000, 10_000
 _SPACED_OUT = re.compile(r"(?<!\S)(?:\w[ \t]{1,3}){3,}\w(?!\w)")
@@ -85,8 +85,12 @@ def subsequences(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def windows_of(unit: str) -> list[str]:
-    n, step = len(unit), WINDOW // 2
-    return [unit] if n <= WINDOW else [unit[i : i + WINDOW] for i in range(0, n - WINDOW + step, step)]
+    n, half = len(unit), WINDOW // 2
+    if n <= WINDOW:
+        return [unit]
+    # the last is the shorter rest, in which a short insult weighs more
+    last = range(0, n - WINDOW + half, half)[-1]
+    return [unit[i : i + WINDOW] for i in range(0, last + 1, STEP)]
 
 
 def by_length(units: list[str]):
