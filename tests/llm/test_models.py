@@ -105,29 +105,78 @@ def test_toxicity_on_held_out_rows(spark, docs, none):
     assert {r.score for r in toxicity.toxicity_scores(texts, labels.limit(0)).collect()} == {0.0}
 
 
-def plain_kernel(s, t):
-    """Sum over common subsequences of three characters of the decayed spans, by enumeration."""
+def plain_weights(x):
+    """Decayed spans of the subsequences of three characters, by enumeration; each unit stands between two edges."""
     from itertools import combinations
 
-    def weights(x):
-        out = {}
-        for at in combinations(range(len(x)), 3):
-            u = "".join(x[i] for i in at)
-            out[u] = out.get(u, 0) + toxicity.DECAY ** (at[-1] - at[0] + 1)
-        return out
+    x, out = f"\x7f{x}\x7f", {}
+    for at in combinations(range(len(x)), 3):
+        u = "".join(x[i] for i in at)
+        out[u] = out.get(u, 0) + toxicity.DECAY ** (at[-1] - at[0] + 1)
+    return out
 
-    a, b = weights(s), weights(t)
+
+def plain_kernel(a, b):
     dot = lambda p, q: sum(v * q.get(k, 0) for k, v in p.items())
     return dot(a, b) / (dot(a, a) * dot(b, b)) ** 0.5
 
 
 def test_kernel_equals_enumeration():
-    units, marks = ["idiot", "idxiot", "aaa", "banana", "abcabcabc", "stone"], ["idiot", "banana", "aaaa"]
+    units, marks = ["idiot", "idxiot", "aaa", "banana", "abcabcabc", "stone", "a"], ["idiot", "banana", "aaaa"]
     got = toxicity.Landmarks(marks).kernels(units)
-    expected = [[plain_kernel(u, m) ** toxicity.DEGREE for m in marks] for u in units]
+    expected = [[plain_kernel(plain_weights(u), plain_weights(m)) for m in marks] for u in units]
     assert np.allclose(got, expected, atol=1e-5)
 
 
+def bags(texts, labels):
+    return [(sorted(toxicity.units_of(t)), toxicity.marks_of(t), y) for t, y in zip(texts, labels)]
+
+
+def insulted(n=200):
+    rnd, insult = random.Random(8), ["moronic", "scumbag", "imbecile"]
+    texts = [sentence(rnd, 25) + (f" {rnd.choice(insult)}" if i % 4 == 0 else "") for i in range(n)]
+    return texts, [int(i % 4 == 0) for i in range(n)]
+
+
+def test_scores_equal_brute_force():
+    texts, labels = insulted()
+    model = toxicity.fit(bags(texts, labels), landmarks=30)
+    marks = [plain_weights(m) for m in model.landmarks]
+
+    def plain_score(text):
+        worst = 2 * model.bias - 1
+        units = {"".join(c for c in w if c.isalpha()) for w in text.lower().split()} - {""}
+        windows = [plain_weights(u[i : i + 16]) for u in units for i in range(max(1, len(u) - 15))]
+        if windows:
+            worst = max(sum(a * plain_kernel(w, m) for a, m in zip(model.alpha, marks)) + model.bias for w in windows)
+        return 1 / (1 + np.exp(-(model.slope * worst + model.offset)))
+
+    odd = ["", "...", "x" * 40, "a", "an imbXecile here", "12 34", "abcdefghijklmnopqrstuvwxyz", *texts[:6]]
+    got = [float(model.scores(np.array([max(model.decisions(sorted(toxicity.units_of(t))), default=model.least)]))[0]) for t in odd]
+    assert np.allclose(got, [plain_score(t) for t in odd], atol=1e-4)
+
+
+def test_altered_insults_are_told():
+    texts, labels = insulted()
+    model = toxicity.fit(bags(texts, labels))
+    for u in ("moronic", "scumbag", "imbecile"):
+        inserted = [u[:i] + c + u[i:] for i in range(1, len(u)) for c in "xqaeoz"]
+        doubled = [u[:i] + u[i - 1] + u[i:] for i in range(1, len(u) + 1)]
+        dropped = [u[:i] + u[i + 1 :] for i in range(1, len(u) - 1)]
+        for forms in (inserted, doubled, dropped):
+            assert (model.scores(model.decisions(forms)) >= 0.5).mean() >= 0.9
+    assert (model.scores(model.decisions(sorted(set(WORDS + SPANISH)))) < 0.5).all()
+
+
+def test_machine_is_the_least_of_its_risk():
+    rng = np.random.default_rng(1)
+    x, y, cost = rng.normal(size=(60, 4)), rng.choice([-1.0, 1.0], 60), rng.uniform(0.5, 2, 60)
+    w, b = toxicity.support_vectors(x, y, cost)
+    risk = lambda w, b: 1.5 * w @ w + (cost * np.maximum(0, 1 - y * (x @ w + b)) ** 2).sum()
+    least = risk(w, b)
+    assert all(risk(w + d[:4], b + d[4]) >= least - 1e-6 for d in rng.normal(scale=0.05, size=(300, 5)))
+
+
 def test_units():
     assert toxicity.units_of("You i d i o t, w.o-r_m! 12 ÉCLAIR") >= {"you", "idiot", "worm", "éclair"}
     assert toxicity.units_of(None) == set() and toxicity.windows_of("a" * 40)[-1] == "a" * 16

@@ -17,6 +17,15 @@ def bounded_sample(rows: DataFrame, key: Column, limit: int, seed: int = 11) ->
     return rows.where(h <= (F.lit(last) if last is not None else F.lit(-(1 << 63))))
 
 
+def one_text_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """chosen (a bounded sample of one row for each doc_id) with the text of that id, of several the least; ids without text fall out.
+
+    The sample is all that is broadcast and no text is shuffled to find its rows; repeats of an id are reduced to one before they meet.
+    """
+    texts = docs.select("doc_id", "text").where("text is not null and doc_id is not null")
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy(*chosen.columns).agg(F.min("text").alias("text"))
+
+
 def shares(sizes: dict[str, int], limit: int) -> dict[str, int]:
     """Rows that each kind gives, limit in all: small kinds give all they have, the others alike."""
     out, left = {}, limit
