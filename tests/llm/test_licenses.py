@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 
@@ -43,7 +45,46 @@ def test_contained_hits_of_less_priority_are_suppressed():
 
 
 def test_there_are_hundreds_of_rules():
-    assert len(licenses.RULES) > 200 and len({(r.label, r.pattern) for r in licenses.RULES}) == len(licenses.RULES)
+    assert len(licenses.PASSAGES) + 2 * len(licenses.FAMILIES) > 200
+    assert len(licenses.RULES) > 300 and len({(r.label, r.pattern) for r in licenses.RULES}) == len(licenses.RULES)
+
+
+def plain_scan(rules, text):
+    """Labels and score by comparing every hit with every one taken before."""
+    line = f" {' '.join(re.findall('[^\x00-\x2f\x3a-\x60\x7b-\x7f]+', text))} "
+    hits = []
+    for r in rules:
+        if all(k in line for k in r.keywords):
+            hits += [(-r.priority, m.start() - m.end(), m.start(), m.end(), r.label, r.confidence) for m in re.finditer(f"(?<= )(?:{r.pattern})(?= )", line)]
+    taken, labels, score = [], {label for p, label in PHRASES.items() if f" {p} " in line}, 0.0
+    score = licenses.BASE_CONFIDENCE if labels else 0.0
+    for _, _, a, b, label, confidence in sorted(hits):
+        if not any(x <= a and b <= y for x, y in taken):
+            taken.append((a, b))
+            labels.add(label)
+            score = max(score, confidence)
+    return ",".join(sorted(labels)), score
+
+
+def test_random_hits_equal_brute_force():
+    rnd = random.Random(3)
+    for _ in range(400):
+        rules = []
+        for i in range(rnd.randrange(1, 12)):
+            words = [rnd.choice("abc") for _ in range(rnd.randrange(1, 5))]
+            rules.append(licenses.Rule(f"l{i}", rnd.randrange(1, 4), rnd.randrange(1, 10) / 10, (words[0],), " ".join(words)))
+        text = " ".join(rnd.choice("abcd") for _ in range(rnd.randrange(40)))
+        assert licenses.scanner(tuple(rules))(text)[5:] == plain_scan(rules, text)
+    pieces = "gnu general public license v 2 3 0 apache mit cc by nc sa 4 under the terms of licensed released software all rights reserved".split()
+    for _ in range(200):
+        text = " ".join(rnd.choice(pieces) for _ in range(60))
+        assert licenses.scanner()(text)[5:] == plain_scan(licenses.RULES, text)
+
+
+def test_long_text_takes_linear_time():
+    began = time.time()
+    got = licenses.scanner()("mit license here. " * 170_000)
+    assert got[1] == 170_000 and got[5] == "mit" and time.time() - began < 20
 
 
 def test_operator_on_odd_rows(docs, none):
