@@ -8,7 +8,7 @@ _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCD
 
 OP7 = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS win
  FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p) WHERE len(w) > 0),
 lengths AS (SELECT DISTINCT n FROM bw),
