@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, materialize
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
@@ -48,7 +48,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     For a limit L between two rows, the total after truncation is truncated_total of the lower row plus (L - n_tokens) *
     docs_longer of that row. An empty table gives an empty result.
     """
-    h = lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumn("_b", F.floor(F.col("n_tokens") / WIDTH))
+    # written, a row a length, as it is read twice and documents are to be encoded once
+    h = materialize(lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "histogram").withColumn("_b", F.floor(F.col("n_tokens") / WIDTH))
     after = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     blocks = h.groupBy("_b").agg(F.sum("n_docs").alias("_d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("_t"))
