@@ -91,6 +91,12 @@ def test_redaction_cuts_every_span(spark, docs, none):
     assert pii.redact(none).collect() == [] and pii.report(none).collect() == []
 
 
+def test_redaction_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([("b", "m", 1, "mail a@b.co now", 2, 3, "c")], "base string, more string, _s int, text string, _t int, _c int, c0 string")
+    got = pii.redact(df)
+    assert got.columns == df.columns and tuple(got.first()) == ("b", "m", 1, "mail <email> now", 2, 3, "c")
+
+
 def test_reliabilities_tell_a_good_labeler_from_noise():
     counts = {}
     for private in (True,) * 300 + (False,) * 700:

@@ -207,11 +207,18 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with every span of text replaced by its kind in angle brackets; null texts stay null."""
-    df = detect(docs, text).withColumn("_s", F.array_sort(F.concat("base", "more"))).drop("base", "more")
+    """docs with every span of text replaced by its kind in angle brackets.
+
+    Null texts stay null, empty ones empty; repeated rows and null ids are kept; an empty table stays empty. All other
+    columns are kept as they are, whatever their names.
+    """
+    names = docs.columns
+    own = [f"c{i}" for i in range(len(names))]
+    text = own[names.index(text)]
+    df = detect(docs.toDF(*own), text).withColumn("_s", F.array_sort(F.concat("base", "more")))
     df = df.withColumn("_r", F.when(F.size("_s") > 0, _scan(F.transform("_s", lambda x: x["e"]), lambda a, b: F.greatest(a, b))))
     before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("_r", i - 1))
     piece = lambda x, i: F.when(x["e"] > before(i), F.concat(F.substring(F.col(text), before(i) + 1, F.greatest(x["s"] - before(i), F.lit(0))), F.lit("<"), x["kind"], F.lit(">"))).otherwise("")
     end = F.element_at("_r", -1)
     new = F.concat(F.array_join(F.transform("_s", piece), ""), F.substring(F.col(text), end + 1, F.length(text)))
-    return df.withColumn(text, F.when(F.size("_s") > 0, new).otherwise(F.col(text))).drop("_s", "_r")
+    return df.withColumn(text, F.when(F.size("_s") > 0, new).otherwise(F.col(text))).select(*own).toDF(*names)
