@@ -94,6 +94,51 @@ def test_non_negative_risk_with_known_mixture():
     assert (model.scores(yes) > 0.5).mean() > 0.95 and (model.scores(no) < 0.5).mean() > 0.95
 
 
+def test_prior_is_estimated_from_scores():
+    rng = np.random.default_rng(2)
+    for share in (0.3, 0.6, 0.9):
+        yes = rng.normal(2, 1, 4000)
+        mixed = np.concatenate([rng.normal(2, 1, int(4000 * share)), rng.normal(-2, 1, 4000 - int(4000 * share))])
+        assert abs(quality_classifier.estimated_prior(yes, mixed) - share) < 0.05
+
+
+def test_quality_scores_equal_brute_force(spark):
+    texts, labels, by_id = labelled(spark, 120)
+    ids = sorted(i for i in by_id if fold(i, 5) != 0 and i % 5 != 0)
+    feature = lambda i: quality_classifier.features_of(by_id[i])
+    yes, rest = np.array([feature(i) for i in ids]), np.array([feature(i) for i in sorted(by_id)])
+    draft = quality_classifier.fit(yes[::2], rest[::2], 0.5)
+    prior = quality_classifier.estimated_prior(draft.scores(yes[1::2]), draft.scores(rest[1::2]))
+    everything = np.concatenate([yes, rest])
+    mean, scale = everything.mean(axis=0), np.maximum(everything.std(axis=0), 1e-3)
+    model = quality_classifier.fit(yes, rest, min(0.98, max(0.02, prior)))
+    got = {r.doc_id: r.score for r in quality_classifier.quality_scores(texts, labels).collect()}
+    for i in by_id:
+        z = sum(w * min(4, max(-4, (x - m) / s)) for w, x, m, s in zip(model.weights, feature(i), mean, scale)) + model.bias
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-6)
+
+
+def test_languages_equal_brute_force(spark):
+    rnd = random.Random(6)
+    data = [(i, sentence(rnd, 15, SPANISH if i % 3 else WORDS), "es" if i % 3 else "en") for i in range(90)]
+    model = langid.fit((t, x) for i, t, x in data if fold(i, 4) != 2)
+    got = {r.doc_id: r for r in langid.language_report(spark.createDataFrame(data, "doc_id long, text string, lang string")).collect()}
+    for i, t, _ in data:
+        x = [np.log1p(c) * w for c, w in zip(langid.counts_of(t), model.idf)]
+        length = sum(v * v for v in x) ** 0.5
+        cos = [sum(a * b for a, b in zip(x, c)) / length for c in model.centroids]
+        assert got[i].score == pytest.approx(max(cos), abs=1e-4) and got[i].lang_pred == model.languages[int(np.argmax(cos))]
+
+
+def test_repeats_of_an_id_are_learnt_once(spark):
+    from tracewright.llm.samples import one_text_each, sampled_texts
+
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, None), (3, "c"), (None, "d")], "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    assert rows(one_text_each(df, chosen)) == [(1, 0, "a")]
+    assert rows(sampled_texts(df, 10)) == [(1, "a"), (3, "c")]
+
+
 def test_toxicity_on_held_out_rows(spark, docs, none):
     texts, labels, _ = labelled(spark)
     got = toxicity.toxicity_scores(texts, labels).collect()

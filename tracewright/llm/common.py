@@ -28,12 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder the cluster names in spark.checkpoint.dir. Where that is unset, as in tests: a temporary folder if all runs on
+    one machine, else one in the warehouse, which executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tracewright-"))
+        alone = spark.sparkContext.master.split("[")[0] == "local"
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tracewright-") if alone else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
@@ -76,6 +76,7 @@ def map_texts(df: DataFrame, carry: list[str], make: Callable[[], Callable], ddl
     to Python once.
     """
     spark = df.sparkSession
+    # read when the query runs, which is after this returns
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     keys = [f"_k{i}" for i in range(len(carry))]

@@ -11,6 +11,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,16 +76,27 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
     return c
 
 
+def sparse_counts(text: str) -> tuple[list[int], list[float]]:
+    """The n-grams that occur and their counts; none for a text without letters."""
+    x = counts_of(text) if has_letter(text) else np.zeros(0)
+    at = np.flatnonzero(x)
+    return at.tolist(), x[at].tolist()
+
+
 def fit(labelled: Iterable[tuple[str, str]], clusters: int = CLUSTERS) -> Model | None:
-    """From texts and their languages, of which only the vectors are held; None without a text that has a letter."""
-    rows, languages = [], []
-    for text, language in labelled:
-        if has_letter(text):
-            rows.append(counts_of(text))
-            languages.append(language)
+    """From texts and their languages; None without a text that has a letter."""
+    return fit_counts([(*sparse_counts(text), language) for text, language in labelled], clusters)
+
+
+def fit_counts(labelled: list[tuple[list[int], list[float], str]], clusters: int = CLUSTERS) -> Model | None:
+    """From n-grams, their counts and the languages of texts."""
+    rows = [r for r in labelled if len(r[0])]
     if not rows:
         return None
-    x = np.stack(rows)
+    languages = [r[2] for r in rows]
+    x = np.zeros((len(rows), _DIMS), np.float32)
+    for own, (at, count, _) in zip(x, rows):
+        own[at] = count
     del rows
     seen = np.count_nonzero(x, axis=0)
     model = Model((np.log((1 + len(x)) / (1 + seen)) + 1).astype(np.float32), np.zeros((0, _DIMS)), [], np.zeros(0))
@@ -108,9 +120,19 @@ def fit(labelled: Iterable[tuple[str, str]], clusters: int = CLUSTERS) -> Model
 
 
 def train(docs: DataFrame, learn: Column, limit: int = SAMPLE) -> Model | None:
-    """From at most limit documents where learn holds (columns doc_id, text, lang), of every language as many as of others or all."""
+    """From at most limit documents where learn holds (columns doc_id, text, lang), of every language as many as of others or all.
+
+    Of rows that repeat an id the least language and text is learnt from. Only counts of n-grams come to the driver.
+    """
     rows = docs.select("doc_id", "text", "lang").where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    return fit((r.text, r.lang) for r in bounded_sample_each(rows, F.col("doc_id"), "lang", limit).orderBy("doc_id", "lang", "text").toLocalIterator())
+    chosen = bounded_sample_each(rows, F.col("doc_id"), "lang", limit).groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.lang", "r.text")
+
+    def make():
+        kinds = (pa.list_(pa.int32()), pa.list_(pa.float32()))
+        return lambda texts: [pa.array(x, kind) for x, kind in zip(zip(*map(sparse_counts, texts)), kinds)]
+
+    found = map_texts(chosen, ["doc_id", "lang"], make, "at array<int>, n array<float>")
+    return fit_counts([(r.at, r.n, r.lang) for r in found.orderBy("doc_id").toLocalIterator()])
 
 
 def identify(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:

@@ -2,11 +2,12 @@
 
 Trusted positives and unlabelled web text, both bounded samples, train a logistic model on whole-text statistics by
 minimising the non-negative unbiased risk: prior * R+ (positives) + max(0, R- (unlabelled) - prior * R- (positives)).
-The class prior is the share of good documents among labelled ones, shrunk towards a half by two pseudo-documents.
+The class prior is estimated from scores of held-back positives and unlabelled rows; labels of bad documents are not used.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import fold, map_texts
 from .quality_rules import repeated_words
-from .samples import bounded_sample
+from .samples import bounded_sample, one_text_each, sampled_texts
 
 #: Positives and unlabelled documents that are fitted on, at most.
 POSITIVES, UNLABELLED = 4000, 8000
@@ -82,18 +83,42 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int
     return model
 
 
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, sure: float = 0.1) -> float:
+    """Share of positives among unlabelled rows, from the scores of rows that the scorer was not fitted on (best bin estimation).
+
+    Above a cut lie a share u of the unlabelled and p of the positives; u / p bounds the prior from above, as all that lies
+    there might be positive. The least bound counts, at the cut where sampling errors (at confidence 1 - sure) matter least.
+    """
+    cuts = np.unique(np.quantile(positive, np.linspace(0.0, 0.95, 96)))
+    p, u = ((x[:, None] >= cuts).mean(axis=0) for x in (positive, unlabelled))
+    error = sum(math.sqrt(math.log(4 / sure) / (2 * len(x))) for x in (positive, unlabelled))
+    best = int(np.argmin((u + error) / p))
+    return float(min(1.0, u[best] / p[best]))
+
+
+def fit_with_prior(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
+    """A half of the rows, with a guessed prior, gives the scorer by which the other half estimates the prior; all rows give the model."""
+    if min(len(positive), len(unlabelled)) < 4:
+        return fit(positive, unlabelled, 0.5)
+    draft = fit(positive[::2], unlabelled[::2], 0.5)
+    return fit(positive, unlabelled, min(0.98, max(0.02, estimated_prior(draft.scores(positive[1::2]), draft.scores(unlabelled[1::2])))))
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model | None:
-    """From labels (doc_id, quality) where learn holds; None if no trusted positive has a text."""
+    """From labels (doc_id, quality) where learn holds; None if no trusted positive has a text. Only vectors come to the driver."""
     known = labels.where(learn & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    n, good = known.agg(F.count("*"), F.sum((F.col("quality") == 1).cast("int"))).first()
     trusted = bounded_sample(known.where("quality = 1").select("doc_id"), F.col("doc_id"), positives)
-    texts = docs.select("doc_id", "text").where("text is not null and doc_id is not null")
-    # the sampled ids, positives at most, are the only thing broadcast; no text is shuffled to find them
-    yes = [features_of(r.text) for r in texts.join(F.broadcast(trusted), "doc_id", "left_semi").orderBy("doc_id", "text").toLocalIterator()]
-    if not yes:
+
+    def make():
+        return lambda texts: [[features_of(t) for t in texts]]
+
+    def vectors(texts: DataFrame) -> np.ndarray:
+        return np.array([r.x for r in map_texts(texts, ["doc_id"], make, "x array<double>").orderBy("doc_id").toLocalIterator()])
+
+    yes = vectors(one_text_each(docs, trusted))
+    if not len(yes):
         return None
-    rest = [features_of(r.text) for r in bounded_sample(texts, F.col("doc_id"), unlabelled, 12).orderBy("doc_id", "text").toLocalIterator()]
-    return fit(np.array(yes), np.array(rest), min(0.98, (good + 1) / (n + 2)))
+    return fit_with_prior(yes, vectors(sampled_texts(docs, unlabelled, 12)))
 
 
 def score(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:

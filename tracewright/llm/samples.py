@@ -10,7 +10,7 @@ def bounded_sample(rows: DataFrame, key: Column, limit: int, seed: int = 11) ->
     """The limit rows whose keys hash lowest (all if there are no more); the same rows on every run.
 
     Only keys are read to find the hash that bounds the sample; texts are read in the second pass, of chosen rows alone.
-    Rows that share a key share a fate, so repeats of the bounding key may add to limit.
+    Rows that share a key share a fate, so repeats of a chosen key may add to limit; callers reduce them to one.
     """
     h = F.xxhash64(F.lit(seed), key)
     last = rows.select(h.alias("h")).orderBy("h").limit(limit).agg(F.max("h")).first()[0]
@@ -26,6 +26,12 @@ def one_text_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(chosen), "doc_id").groupBy(*chosen.columns).agg(F.min("text").alias("text"))
 
 
+def sampled_texts(docs: DataFrame, limit: int, seed: int = 11) -> DataFrame:
+    """doc_id, text of limit ids at most, one row each (of several the least text); the same on every run."""
+    texts = docs.select("doc_id", "text").where("text is not null and doc_id is not null")
+    return bounded_sample(texts, F.col("doc_id"), limit, seed).groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
 def shares(sizes: dict[str, int], limit: int) -> dict[str, int]:
     """Rows that each kind gives, limit in all: small kinds give all they have, the others alike."""
     out, left = {}, limit
