@@ -26,7 +26,9 @@ SHARE, WEIGHTED, QUANTILE = 0.75, 0.975, 1 - 1e-4
 #: Words of the language's median in each ratio; documents of the language in each group's estimate.
 PRIOR, PEERS = 200, 50.0
 #: Steps from every start; the fall of a log determinant that ends the steps, about what quantiles of large groups are exact to; steps at most.
-TRIES, FALL, STEPS = 2, 1e-3, 40
+TRIES, FALL, STEPS = 2, 5e-3, 40
+#: Tasks for tables of a row a group.
+FEW = 16
 #: Added to variances so that they can be inverted.
 GUARD = 1e-6
 #: Words of a block in which distinct words are counted.
@@ -118,7 +120,7 @@ def transformed(stats: DataFrame, language: str) -> DataFrame:
     usual = stats.groupBy(language).agg(*(m[0].alias(f"_u{i}") for i, m in enumerate(_middle([F.col(a) / F.col(b) for a, b in parts], [0.5]))))
     ratios = [(F.col(a) + PRIOR * F.col(f"_u{i}")) / (F.col(b) + PRIOR) for i, (a, b) in enumerate(parts)]
     values = [F.log("n_words"), F.log(ratios[0]), 2 * F.sqrt(ratios[1]), 2 * F.sqrt(ratios[2]), F.log(ratios[3])]
-    joined = stats.join(materialize(usual, "usual"), language)
+    joined = stats.join(_written(usual), language)
     return joined.select(*stats.columns, *(v.alias(f) for v, f in zip(values, _FEATURES)))
 
 
@@ -153,12 +155,12 @@ def _spread(sums: np.ndarray, n: int) -> tuple[float, np.ndarray, np.ndarray]:
 
 
 def _schema(k: int) -> str:
-    return ", ".join(["_g string", "_p string", *(x for s in range(k) for x in (f"_m{s} array<double>", f"_i{s} array<double>", f"_c{s} array<double>", f"_v{s} double"))])
+    return ", ".join(["_g string", "_p string", "_was double", *(x for s in range(k) for x in (f"_m{s} array<double>", f"_i{s} array<double>", f"_c{s} array<double>", f"_v{s} double"))])
 
 
 def _table(rows: list[tuple], k: int) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.string(), *[pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64()] * k]
-    names = ["_g", "_p", *(f"_{x}{s}" for s in range(k) for x in "micv")]
+    kinds = [pa.string(), pa.string(), pa.float64(), *[pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64()] * k]
+    names = ["_g", "_p", "_was", *(f"_{x}{s}" for s in range(k) for x in "micv")]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
 
@@ -209,7 +211,7 @@ def _estimate(sums: DataFrame, target: DataFrame, k: int, n: int, factor: float,
                 for s in range(k):
                     count, mean, cov = _spread(np.array(r[f"_s{s}"]), n)
                     out += _described(*shrunk(count, mean, factor * cov, aim, peers))
-                rows.append((r["_g"], r["_p"], *out))
+                rows.append((r["_g"], r["_p"], r["_was"], *out))
             if rows:
                 yield _table(rows, k)
 
@@ -219,7 +221,7 @@ def _estimate(sums: DataFrame, target: DataFrame, k: int, n: int, factor: float,
 def _begun(stats: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """The starts of each group."""
     n = len(names)
-    cuts = stats.groupBy("_g", "_p").agg(F.array(*_middle([F.col(f) for f in names], [0.25, 0.5, 0.75])).alias("_cuts"))
+    cuts = _written(stats.groupBy("_g", "_p").agg(F.array(*_middle([F.col(f) for f in names], [0.25, 0.5, 0.75])).alias("_cuts")))
     z = [(F.col(f) - F.col("_cuts")[i][1]) / F.greatest((F.col("_cuts")[i][2] - F.col("_cuts")[i][0]) / 1.349, F.lit(1e-3)) for i, f in enumerate(names)]
     scaled = stats.join(cuts, ["_g", "_p"]).select("_g", "_p", *(x.alias(f) for x, f in zip(z, names)))
     size = sum((F.col(f) * F.col(f) for f in names), F.lit(1e-12))
@@ -227,19 +229,26 @@ def _begun(stats: DataFrame, names: tuple[str, ...]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(r["_g"], r["_p"], *(x for m, c in starts_of(np.array(r["_cuts"]), np.array(r["_soft"]), np.array(r["_sign"])) for x in _described(m, c))) for r in b.to_pylist()]
+            rows = [(r["_g"], r["_p"], None, *(x for m, c in starts_of(np.array(r["_cuts"]), np.array(r["_soft"]), np.array(r["_sign"])) for x in _described(m, c))) for r in b.to_pylist()]
             if rows:
                 yield _table(rows, 3)
 
-    return materialize(cuts.join(sums, ["_g", "_p"]).mapInArrow(run, _schema(3)), "mcd")
+    return _written(sums.join(cuts, ["_g", "_p"]).mapInArrow(run, _schema(3)))
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """A table of a row a group, so small that joins with it move no rows of documents."""
+    return materialize(df.coalesce(FEW), "mcd")
 
 
 def _stepped(stats: DataFrame, params: DataFrame, target: DataFrame, k: int, names: tuple[str, ...], share: float, peers: float) -> DataFrame:
-    """One concentration step from each of k estimates."""
-    far = stats.join(params.drop("_p"), "_g").select("_g", "_p", *names, *(_distance(s, names).alias(f"_d{s}") for s in range(k)))
-    limits = far.groupBy("_g").agg(*(F.percentile_approx(f"_d{s}", F.lit(share), F.lit(1000)).alias(f"_l{s}") for s in range(k)))
-    sums = far.join(limits, "_g").groupBy("_g", "_p").agg(*(_moments(names, F.col(f"_d{s}") <= F.col(f"_l{s}")).alias(f"_s{s}") for s in range(k)))
-    return materialize(_estimate(sums, target, k, len(names), consistency(share, len(names)), peers), "mcd")
+    """One concentration step from each of k estimates; _was is the first one's log determinant."""
+    far = stats.join(params.drop("_p", "_was"), "_g").select("_g", "_p", "_v0", *names, *(_distance(s, names).alias(f"_d{s}") for s in range(k)))
+    limits = _written(far.groupBy("_g").agg(*(F.percentile_approx(f"_d{s}", F.lit(share), F.lit(1000)).alias(f"_l{s}") for s in range(k))))
+    sums = far.join(limits, "_g").groupBy("_g", "_p").agg(F.first("_v0").alias("_was"), *(_moments(names, F.col(f"_d{s}") <= F.col(f"_l{s}")).alias(f"_s{s}") for s in range(k)))
+    out = _written(_estimate(sums, target, k, len(names), consistency(share, len(names)), peers))
+    drop_scratch(limits)
+    return out
 
 
 def robust_estimates(stats: DataFrame, target: DataFrame, names: tuple[str, ...] = _FEATURES, share: float = SHARE, peers: float = PEERS) -> DataFrame:
@@ -250,21 +259,20 @@ def robust_estimates(stats: DataFrame, target: DataFrame, names: tuple[str, ...]
         drop_scratch(before)
     least = F.least("_v0", "_v1", "_v2")
     chosen = [F.when(F.col("_v0") == least, F.col(f"_{x}0")).when(F.col("_v1") == least, F.col(f"_{x}1")).otherwise(F.col(f"_{x}2")).alias(f"_{x}0") for x in "micv"]
-    before, params = params, materialize(params.select("_g", "_p", *chosen), "mcd")
-    drop_scratch(before)
+    tried, params = params, params.select("_g", "_p", "_was", *chosen)
     for _ in range(STEPS):
-        after = _stepped(stats, params, target, 1, names, share, peers)
-        fall = params.select("_g", F.col("_v0").alias("_was")).join(after, "_g").agg(F.max(F.abs(F.col("_was") - F.col("_v0")))).first()[0]
-        drop_scratch(params)
-        params = after
+        before, params = params, _stepped(stats, params, target, 1, names, share, peers)
+        drop_scratch(before)
+        fall = params.agg(F.max(F.col("_was") - F.col("_v0"))).first()[0]
         if fall is None or fall <= FALL:
             break
     # rows with a weight, by the distance that normal rows hardly exceed, give the final estimate
     n = len(names)
-    far = stats.join(params.drop("_p"), "_g").withColumn("_d", _distance(0, names))
-    sums = far.groupBy("_g", "_p").agg(_moments(names, F.col("_d") <= chi_square_quantile(WEIGHTED, n)).alias("_s0"))
-    out = materialize(_estimate(sums, target, 1, n, consistency(WEIGHTED, n), peers), "mcd")
+    far = stats.join(params.drop("_p", "_was"), "_g").withColumn("_d", _distance(0, names))
+    sums = far.groupBy("_g", "_p").agg(F.first("_v0").alias("_was"), _moments(names, F.col("_d") <= chi_square_quantile(WEIGHTED, n)).alias("_s0"))
+    out = _written(_estimate(sums, target, 1, n, consistency(WEIGHTED, n), peers))
     drop_scratch(params)
+    drop_scratch(tried)
     return out
 
 
@@ -272,9 +280,9 @@ def robust_distances(stats: DataFrame, names: tuple[str, ...] = _FEATURES, share
     """stats with _d: squared Mahalanobis distance by the robust estimate of the row's group _g, which shrinks by peers rows towards that of
     its parent group _p, which shrinks towards the medians of all rows. With peers 0 every group is estimated by itself."""
     n = len(names)
-    cuts = materialize(stats.agg(F.array(*_middle([F.col(f) for f in names], [0.25, 0.5, 0.75])).alias("_cuts")).where(F.col("_cuts")[0].isNotNull()), "mcd")
+    cuts = _written(stats.agg(F.array(*_middle([F.col(f) for f in names], [0.25, 0.5, 0.75])).alias("_cuts")).where(F.col("_cuts")[0].isNotNull()))
     wide = [F.greatest(F.pow((F.col("_cuts")[i][2] - F.col("_cuts")[i][0]) / 1.349, 2), F.lit(GUARD)) for i in range(n)]
-    root = materialize(cuts.select(F.lit("").alias("_p"), F.array(*(F.col("_cuts")[i][1] for i in range(n))).alias("_tm"), F.array(*(wide[i] if i == j else F.lit(0.0) for i, j in _pairs(n))).alias("_tc")), "mcd")
+    root = _written(cuts.select(F.lit("").alias("_p"), F.array(*(F.col("_cuts")[i][1] for i in range(n))).alias("_tm"), F.array(*(wide[i] if i == j else F.lit(0.0) for i, j in _pairs(n))).alias("_tc")))
     parents = robust_estimates(stats.withColumn("_g", F.col("_p")).withColumn("_p", F.lit("")), root, names, share, peers)
     target = parents.select(F.col("_g").alias("_p"), F.col("_m0").alias("_tm"), F.col("_c0").alias("_tc"))
     params = robust_estimates(stats, target, names, share, peers)
