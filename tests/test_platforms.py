@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tests.samples import TOOLS
 from tracewright import cli
-from tracewright.functions.canonical import opening, session_text
 from tracewright.operators import dedup, response
 from tracewright.plans import platforms
 from tracewright.streaming import longest
@@ -37,16 +36,6 @@ def test_each_platform_passes_and_repeats_are_demoted(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "kept").iterdir()) == ["bedrock.json", "claude.json", "longer.json"]
 
 
-def test_session_text_is_pythons():
-    tools = [{"b": 1.0, "a": "é"}, {"a": 1e16}]
-    messages = [{"role": "user", "content": "a b\n<think>c"}, {"role": "tool", "content": "x" * 2000}, {"role": "assistant", "content": "late"}]
-    text = session_text("openai_chat", json.dumps(tools), json.dumps(messages), "{}", "sys")
-    assert text == '[{"a":"é","b":1.0},{"a":1e+16}]' + "systemsys" + "userabc" + "tool" + "x" * 1000
-    assert session_text("openai_chat", "[]", "[]", "{}", "") is None
-    assert session_text("openai_chat", "[]", '[{"role": "user", "content": {"a": 1}}]', "{}", "") is None
-    assert [m["role"] for m in opening([{"role": "assistant"}, {"role": "user"}, {"role": "assistant"}])] == ["assistant", "user"]
-
-
 def test_response_shapes(spark):
     done = 'event: response.output_item.done\ndata: {"type":"response.output_item.done","item":{"type":"function_call","name":"f"}}'
     rows = [

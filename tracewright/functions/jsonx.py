@@ -1,7 +1,7 @@
 """Type-guarded access to JSON held in VARIANT columns.
 
-Casting a VARIANT turns numbers into text and the like, so every test of a value's type goes through its schema.
-Columns are built from few copies of their arguments; plans put what is used often into columns of its own.
+Casting a VARIANT turns numbers into text and the like, so types are tested first: containers by a shallow cast, which fails
+for all else and leaves their members unread, scalars by their schema. Columns are built from few copies of their arguments; plans put what is used often into columns of its own.
 """
 
 from __future__ import annotations
@@ -36,11 +36,15 @@ def field(v: Column, *path: str) -> Column:
 
 
 def has(v: Column, name: str) -> Column:
-    return F.coalesce(F.map_contains_key(F.try_variant_get(v, "$", "map<string,variant>"), name), F.lit(False))
+    return field(v, name).isNotNull()
+
+
+def _members(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>")
 
 
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return _members(v).isNotNull()
 
 
 def items(v: Column) -> Column:
@@ -63,7 +67,7 @@ def objects(values: Column) -> Column:
 
 def string(v: Column) -> Column:
     """The text of a string; null for anything else."""
-    return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    return F.when(_members(v).isNull() & items(v).isNull() & (F.schema_of_variant(v) == "STRING"), F.try_variant_get(v, "$", "string"))
 
 
 def text_of(v: Column) -> Column:
@@ -73,7 +77,8 @@ def text_of(v: Column) -> Column:
 
 def truthy(v: Column) -> Column:
     """v unless it is missing, null, false, zero or empty."""
-    return F.when(~F.to_json(v).isin("null", '""', "false", "0", "0.0", "-0.0", "[]", "{}"), v)
+    full = F.coalesce(F.array_size(F.map_keys(_members(v))) > 0, F.array_size(items(v)) > 0, ~F.to_json(v).isin("null", '""', "false", "0", "0.0", "-0.0"))
+    return F.when(full, v)
 
 
 def first_truthy(*values: Column) -> Column:

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Lengths at which names, keys, tool outputs and scanned texts are cut.
 NAME_CUT, KEY_CUT, TOOL_CUT, SCAN_LIMIT = 180, 120, 1000, 4000
-#: White space of Python's str.split and str.strip.
+#: White space of Python's str.split and str.strip, as a pattern and as characters.
 SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"^{SPACE}+|{SPACE}+\z", "")
+    """Only the ends of a text are read."""
+    return F.trim(x, F.lit(SPACES))
 
 
 def folded(x: Column) -> Column:
@@ -50,12 +56,27 @@ def byte_size(n: Column) -> Column:
     return out.when(n >= 1 << 10, F.format_string("%.1f KiB", F.bround(n / 1024.0, 1))).otherwise(F.concat(n.cast("string"), F.lit(" B")))
 
 
+def rounded(x: Column, places: int) -> Column:
+    """x times 10^places as a whole number, half to even by x's exact binary value as Python rounds; for 0 <= x < 2^20, 4 places at most."""
+    unit, one = F.lit(1 << 25), 1 << 75
+    parts = [x * unit]
+    for _ in range(2):
+        parts.append((parts[-1] - F.floor(parts[-1])) * unit)
+    # x in units of 2^-75, exactly; what is smaller is far from any half
+    high, middle, low = (F.floor(p).cast("decimal(38,0)") for p in parts)
+    scaled = ((high * F.lit(Decimal(1 << 50)) + middle * F.lit(Decimal(1 << 25)) + low) * F.lit(Decimal(10**places))).cast("decimal(38,0)")
+    whole = F.call_function("div", scaled, F.lit(Decimal(one)))
+    rest = scaled - whole.cast("decimal(12,0)") * F.lit(Decimal(one))
+    return F.when((rest * 2 > F.lit(Decimal(one))) | ((rest * 2 == F.lit(Decimal(one))) & (whole % 2 == 1)), whole + 1).otherwise(whole)
+
+
 def percent(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, F.format_string("%.1f%%", F.bround(part * 100.0 / F.when(whole > 0, whole), 1))).otherwise("—")
+    tenths = rounded(part * 100.0 / F.when(whole > 0, whole), 1)
+    return F.when(whole > 0, F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit("%"))).otherwise("—")
 
 
 def table_cell(x: Column) -> Column:
-    return F.replace(x, F.lit("|"), F.lit("\\|"))
+    return F.coalesce(F.replace(x, F.lit("|"), F.lit("\\|")), F.lit("—"))
 
 
 def safe_member(name: Column) -> Column:
