@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import rounded
+
 
 def histogram(df: DataFrame, values: str, order: str) -> DataFrame:
     """reason, n, first_seen: how often each element of an array column occurs, most frequent first, then first seen."""
@@ -24,12 +26,12 @@ def by_format(df: DataFrame) -> DataFrame:
 
 
 def rate(part: Column, whole: Column) -> Column:
-    """Four decimals; null without a whole."""
-    return F.round(F.try_divide(part.cast("double"), whole), 4)
+    """Four decimals, rounded as Python does; null without a whole."""
+    return rounded(F.try_divide(part.cast("double"), whole), 4) / 10000.0
 
 
-def counters(scan: DataFrame) -> DataFrame:
-    """One row of counts over scanned records with columns problem, envelope, failure, passed and dropped."""
+def counters(scan: DataFrame, *more: Column) -> DataFrame:
+    """One row of counts over scanned records with columns envelope, failure, passed and dropped; more: other aggregates."""
     bad = F.col("envelope").isNull()
     return scan.agg(
         F.count("*").alias("scanned"),
@@ -39,4 +41,10 @@ def counters(scan: DataFrame) -> DataFrame:
         F.count_if("passed").alias("filter_kept"),
         F.count_if(~F.col("passed")).alias("filter_dropped"),
         F.count_if("dropped").alias("dedup_dropped"),
+        *more,
     )
+
+
+def archive_counts(tar: DataFrame) -> DataFrame:
+    """One row over archives (jsonl_member_count, skipped_members): those with several members, and members that were skipped."""
+    return tar.agg(F.count_if(F.col("jsonl_member_count") > 1).alias("archives_with_multiple_jsonl"), F.coalesce(F.sum(F.size("skipped_members")), F.lit(0)).alias("skipped_jsonl_members"))

@@ -34,15 +34,6 @@ def query(sql: str):
     return keep
 
 
-def whole(name: str, *cuts: str) -> str:
-    """SQL of a query without its cuts of the text."""
-    sql = ORACLES[name]
-    for old, new in (c.split(" -> ") for c in cuts):
-        assert old in sql
-        sql = sql.replace(old, new)
-    return sql
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -60,6 +51,9 @@ _TEXT_SQL = """CASE WHEN conv_id % 17 = 3 AND turn = 1 THEN text || ' [SILENT]'
  WHEN conv_id % 19 = 4 AND turn = 0 THEN text || ' read HEARTBEAT.md'
  WHEN conv_id % 23 = 5 AND role = 'assistant' THEN ' HEARTBEAT_OK '
  WHEN conv_id % 29 = 6 AND role = 'assistant' THEN 'EvoMap Heartbeat  result: HTTP status 200'
+ WHEN conv_id % 31 = 7 AND role = 'assistant' THEN 'EvoMap  heartbeat completed successfully.'
+ WHEN conv_id % 37 = 8 AND role = 'assistant' THEN '<heartbeat> ok <decision>DONT_NOTIFY</decision>'
+ WHEN conv_id % 41 = 9 AND turn = 0 THEN text || ' Continue the OpenClaw runtime event'
  ELSE text END"""
 _TURNS_SQL = f"turns AS (SELECT conv_id, turn, role, {_TEXT_SQL} AS text FROM conversations)"
 _TRIM_SQL = "CASE WHEN length(text) <= 4000 THEN text ELSE left(text, 2000) || chr(10) || right(text, 2000) END"
@@ -81,9 +75,10 @@ _STOP_SQL = """CASE WHEN stop_reason IS NULL THEN 'stop_reason_missing' WHEN (fo
  OR (format = 'bedrock_converse' AND stop_reason IN ('end_turn', 'stop_sequence')) OR (format = 'unknown' AND stop_reason IN ('end_turn', 'stop')) THEN NULL ELSE 'stop_reason_' || stop_reason END"""
 _NORM_SQL = r"lower(trim(regexp_replace(last_text, '\s+', ' ', 'g')))"
 _BEAT_SQL = f"""CASE WHEN contains(scan_text, '[SILENT]') OR contains(scan_text, '[SLIENT]') THEN 'silent_keepalive_marker'
- WHEN contains(lower(scan_text), 'read heartbeat.md') OR contains(lower(scan_text), '[openclaw heartbeat poll]') OR contains(lower(scan_text), '[heartbeat:chill]')
+ WHEN contains(lower(scan_text), 'read heartbeat.md') OR contains(lower(scan_text), '[openclaw heartbeat poll]') OR contains(lower(scan_text), '[heartbeat:chill]') OR contains(lower(scan_text), 'continue the openclaw runtime event')
  OR ({_NORM_SQL} = 'heartbeat_ok' AND (n_alive >= 2 OR contains(lower(scan_text), 'inside openclaw')))
- OR (starts_with({_NORM_SQL}, 'evomap heartbeat result') AND contains({_NORM_SQL}, 'http status')) THEN 'heartbeat_non_task_traffic' END"""
+ OR (starts_with({_NORM_SQL}, 'evomap heartbeat result') AND contains({_NORM_SQL}, 'http status')) OR starts_with({_NORM_SQL}, 'evomap heartbeat completed successfully')
+ OR (starts_with({_NORM_SQL}, '<heartbeat>') AND contains({_NORM_SQL}, '<decision>dont_notify')) THEN 'heartbeat_non_task_traffic' END"""
 _JUDGED_SQL = f"""{_CONV_SQL},
 judged AS (SELECT *, list_filter([CASE WHEN NOT ({_R1_SQL} OR {_GPT_SQL}) THEN 'model_not_target_family' END, CASE WHEN n_tools = 0 THEN 'no_tools' END,
  CASE WHEN n_messages <= 5 THEN 'messages_le_5' END, CASE WHEN NOT has_tool_call THEN 'no_assistant_tool_call' END, {_STOP_SQL},
@@ -98,6 +93,9 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((c % 19 == 4) & (F.col("turn") == 0), F.concat("text", F.lit(" read HEARTBEAT.md")))
         .when((c % 23 == 5) & said, F.lit(" HEARTBEAT_OK "))
         .when((c % 29 == 6) & said, F.lit("EvoMap Heartbeat  result: HTTP status 200"))
+        .when((c % 31 == 7) & said, F.lit("EvoMap  heartbeat completed successfully."))
+        .when((c % 37 == 8) & said, F.lit("<heartbeat> ok <decision>DONT_NOTIFY</decision>"))
+        .when((c % 41 == 9) & (F.col("turn") == 0), F.concat("text", F.lit(" Continue the OpenClaw runtime event")))
     )
     return t.withColumn("text", F.coalesce(new, F.col("text")))
 
@@ -184,7 +182,9 @@ def r9_discarded_session(spark, sf_dir):
 
 @query(f"WITH {_JUDGED_SQL} SELECT count(*) AS scanned, count(*) FILTER (WHERE len(reasons) = 0) AS kept, count(*) FILTER (WHERE len(reasons) > 0) AS dropped, CAST(sum(n_messages) AS BIGINT) AS messages FROM judged")
 def a1_funnel(spark, sf_dir):
-    return judged(spark, sf_dir).agg(F.count("*").alias("scanned"), F.count_if("passed").alias("kept"), F.count_if(~F.col("passed")).alias("dropped"), F.sum("n_messages").alias("messages"))
+    scan = judged(spark, sf_dir).select("passed", F.lit("{}").alias("envelope"), F.lit(None).cast("string").alias("failure"), F.lit(False).alias("dropped"), "n_messages")
+    counted = funnel.counters(scan, F.sum("n_messages").alias("messages"))
+    return counted.select("scanned", F.col("filter_kept").alias("kept"), F.col("filter_dropped").alias("dropped"), "messages")
 
 
 _HIST_SQL = f"WITH {_JUDGED_SQL}, r AS (SELECT conv_id, unnest(reasons) AS reason FROM judged) SELECT reason, count(*) AS n, min(conv_id) AS first_seen FROM r GROUP BY reason ORDER BY n DESC, first_seen, reason"
@@ -268,8 +268,10 @@ def a13_message_count(spark, sf_dir):
 
 @query("SELECT count(*) FILTER (WHERE n > 1) AS archives, CAST(coalesce(sum(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) AS members FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")
 def a14_warning_counts(spark, sf_dir):
-    n = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n")).where("n > 1")
-    return n.agg(F.count("*").alias("archives"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("members"))
+    """Sources as archives that hold their documents: all but one of each are skipped."""
+    n = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").cast("int").alias("jsonl_member_count"))
+    tar = n.select("jsonl_member_count", F.array_repeat(F.lit("x"), F.col("jsonl_member_count") - 1).alias("skipped_members"))
+    return funnel.archive_counts(tar).select(F.col("archives_with_multiple_jsonl").alias("archives"), F.col("skipped_jsonl_members").alias("members"))
 
 
 _SESSIONS_SQL = "s AS (SELECT conv_id, conv_id % 20 AS sid, count(*) AS m FROM conversations GROUP BY conv_id)"
@@ -301,21 +303,8 @@ def d7_cross_day(spark, sf_dir):
     return merge.merge_candidates(c).groupBy("day").agg(F.count_if("winner").alias("kept"), F.count_if(~F.col("winner")).alias("cross_day_duplicates"))
 
 
-@query("SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (PARTITION BY lang, left(text, 120) ORDER BY doc_id) = 1")
-def d8_first_occurrence(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").withColumn("k", F.left("text", F.lit(text.KEY_CUT)))
-    first = d.groupBy("lang", "k").agg(F.min("doc_id").alias("doc_id"))
-    return first.select("doc_id", "lang")
-
-
-@query("SELECT conv_id, array_to_string(list(turn ORDER BY turn), ',') AS turns FROM (SELECT conv_id, turn FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id, role, left(text, 3) ORDER BY turn) = 1) GROUP BY conv_id")
+@query("SELECT conv_id, array_to_string(list(turn ORDER BY turn), ',') AS turns FROM (SELECT conv_id, turn FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id, role, left(text, 120) ORDER BY turn) = 1) GROUP BY conv_id")
 def d8_in_array(spark, sf_dir):
-    return _first_turns(spark, sf_dir, 3)
-
-
-@query(whole("d8_in_array", f"left(text, 3) -> left(text, {text.KEY_CUT})"))
-def d8_in_array_whole(spark, sf_dir):
-    """By the operator's own key."""
     return _first_turns(spark, sf_dir, text.KEY_CUT)
 
 
@@ -352,10 +341,10 @@ def h10_normalize_text(spark, sf_dir):
 @query(f"WITH {_PREFIX_SQL} SELECT conv_id, 'session_' || md5(replace(replace(replace(replace('[]' || string_agg(role || text, '' ORDER BY turn), ' ', ''), chr(10), ''), chr(13), ''), chr(9), '')) AS session_id FROM q WHERE s IS NULL OR turn < s GROUP BY conv_id")
 def h11_session_id(spark, sf_dir):
     """Exact ids of chat-shaped conversations without tools."""
-    m = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content")))
+    m = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: F.to_variant_object(F.struct(x["role"].alias("role"), x["text"].alias("content"))))
     df = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(m.alias("messages"))
     df = df.select("conv_id", "messages", F.lit("openai_chat").alias("format"), F.array().cast("array<variant>").alias("tools"), F.lit(None).cast("variant").alias("response"), F.lit("").alias("system_prompt"))
-    return session.exact(df).select("conv_id", "session_id")
+    return session.identify(df).select("conv_id", "session_id")
 
 
 @query("SELECT doc_id, CAST(doc_id % 4 + 1 AS BIGINT) AS n_blocks, 'tick' AS last_event, CAST(doc_id % 4 AS BIGINT) AS last_value FROM documents")
@@ -368,14 +357,9 @@ def p5_sse_blocks(spark, sf_dir):
     return df.select("doc_id", F.size("b").cast("long").alias("n_blocks"), last["event"].alias("last_event"), F.try_variant_get(last["data"], "$.v", "bigint").alias("last_value"))
 
 
-@query("SELECT doc_id, CAST(2 + doc_id % 2 AS BIGINT) AS n_items, left(text, 40) AS answer, 'f' || doc_id AS last_name, CASE WHEN doc_id % 5 = 0 THEN 'incomplete' ELSE 'completed' END AS status FROM documents")
+@query("SELECT doc_id, CAST(2 + doc_id % 2 AS BIGINT) AS n_items, text AS answer, 'f' || doc_id AS last_name, CASE WHEN doc_id % 5 = 0 THEN 'incomplete' ELSE 'completed' END AS status FROM documents")
 def p8_chunk_merge(spark, sf_dir):
     """Chunk streams whose text and tool calls come in interleaved pieces."""
-    return _chunks_merged(spark, sf_dir, F.left("text", F.lit(40)))
-
-
-@query(whole("p8_chunk_merge", "left(text, 40) -> text"))
-def p8_chunk_merge_whole(spark, sf_dir):
     return _chunks_merged(spark, sf_dir, F.col("text"))
 
 
@@ -418,12 +402,20 @@ def n8_system_prompt(spark, sf_dir):
 
 @query(f"WITH {_TURNS_SQL} SELECT conv_id, coalesce(string_agg(text, '|' ORDER BY turn) FILTER (WHERE role = 'assistant' AND text <> ''), '') AS texts FROM turns GROUP BY conv_id")
 def n12_assistant_texts(spark, sf_dir):
-    return trajectories(spark, sf_dir).select("conv_id", F.array_join("assistant_texts", "|").alias("texts"))
+    return _spoken(spark, sf_dir).select("conv_id", F.array_join("texts", "|").alias("texts"))
 
 
 @query(f"WITH {_CONV_SQL} SELECT conv_id, last_text FROM conv")
 def n13_last_text(spark, sf_dir):
-    return trajectories(spark, sf_dir).select("conv_id", F.coalesce(F.try_element_at("assistant_texts", F.lit(-1)), F.lit("")).alias("last_text"))
+    return _spoken(spark, sf_dir).select("conv_id", F.coalesce(F.try_element_at("texts", F.lit(-1)), F.lit("")).alias("last_text"))
+
+
+def _spoken(spark, sf_dir) -> DataFrame:
+    """conv_id, texts: what assistants say in VARIANT messages, every second turn in a list of blocks."""
+    content = lambda x: F.when(x["turn"] % 2 == 0, x["text"].cast("variant")).otherwise(F.to_variant_object(F.array(F.struct(x["text"].alias("text")))))
+    m = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: F.to_variant_object(F.struct(x["role"].alias("role"), content(x).alias("content"))))
+    df = turns(spark, sf_dir).groupBy("conv_id").agg(m.alias("m"))
+    return df.select("conv_id", normalize.assistant_texts_of(F.col("m"), F.parse_json(F.lit("{}"))).alias("texts"))
 
 
 @query(f"SELECT doc_id, {_TRIM_SQL} AS scan_text FROM documents")
@@ -556,13 +548,8 @@ def f6_pct(spark, sf_dir):
     return df.select("format", text.percent(F.col("a"), F.col("b")).alias("share"))
 
 
-@query("SELECT doc_id, replace(left(text, 60) || '|', '|', '\\|') AS cell FROM documents")
+@query("SELECT doc_id, coalesce(replace(text || '|', '|', '\\|'), '—') AS cell FROM documents")
 def f7_cell(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.table_cell(F.concat(F.left("text", F.lit(60)), F.lit("|"))).alias("cell"))
-
-
-@query(whole("f7_cell", "left(text, 60) -> text"))
-def f7_cell_whole(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.table_cell(F.concat("text", F.lit("|"))).alias("cell"))
 
 
@@ -616,16 +603,11 @@ def _variant(**parts) -> Column:
     return F.to_variant_object(F.struct(*((v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in parts.items())))
 
 
-def _whole_docs(spark, sf_dir) -> DataFrame:
+def _docs(spark, sf_dir) -> DataFrame:
     """doc_id, d (as text) and t, the whole text."""
     return table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("d"), F.col("text").alias("t"))
 
 
-def _docs(spark, sf_dir) -> DataFrame:
-    """The same, with t cut to forty characters as in the SQL of the queries that read it."""
-    return _whole_docs(spark, sf_dir).withColumn("t", F.left("t", F.lit(40)))
-
-
 @query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'mine' WHEN 1 THEN 'asked' ELSE '' END AS model, 'openai_responses' AS call_type, 'r' || doc_id AS request_id, CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE -1 END AS input_tokens FROM documents")
 def p2_unwrap_record(spark, sf_dir):
     """The request's own model, else the envelope's; keys that the engine adds win over the request's."""
@@ -710,17 +692,12 @@ def n7_extract(spark, sf_dir):
     return df.select("doc_id", "format", "model", F.col("n_tools").cast("long").alias("n_tools"), F.col("n_messages").cast("long").alias("n_messages"), "system_prompt")
 
 
-@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN left(text, 40) WHEN 1 THEN left(text, 40) || chr(10) || 'two' WHEN 2 THEN '' ELSE left(text, 40) || chr(10) || 'o' END AS joined FROM documents WHERE text <> ''")
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN text || chr(10) || 'two' WHEN 2 THEN '' ELSE text || chr(10) || 'o' END AS joined FROM documents WHERE text <> ''")
 def n10_content_text(spark, sf_dir):
     """Content of a message: text, blocks of several keys, nothing."""
     return _contents(_docs(spark, sf_dir))
 
 
-@query(whole("n10_content_text", "left(text, 40) -> text"))
-def n10_content_text_whole(spark, sf_dir):
-    return _contents(_whole_docs(spark, sf_dir))
-
-
 def _contents(docs: DataFrame) -> DataFrame:
     t = F.col("t")
     block = lambda **kw: F.struct(*((kw[k] if isinstance(kw.get(k), Column) else F.lit(kw.get(k)).cast("string")).alias(k) for k in ("text", "output", "content")))
@@ -733,23 +710,18 @@ def _contents(docs: DataFrame) -> DataFrame:
     return docs.where("t <> ''").select("doc_id", v.alias("v")).select("doc_id", normalize.content_text(F.col("v")).alias("joined"))
 
 
-@query("""SELECT doc_id, 'session_' || md5(replace(replace(replace(replace('[{"function":{"description":"","name":"f","parameters":{}},"type":"function"}]' || 'systemstold' || 'user' || coalesce(left(text, 40), '') || 'tool' || 'r' || doc_id, ' ', ''), chr(10), ''), chr(13), ''), chr(9), '')) AS session_id FROM documents""")
+@query("""SELECT doc_id, 'session_' || md5(replace(replace(replace(replace('[{"function":{"description":"","name":"f","parameters":{}},"type":"function"}]' || 'systemstold' || 'user' || coalesce(text, '') || 'tool' || 'r' || doc_id, ' ', ''), chr(10), ''), chr(13), ''), chr(9), '')) AS session_id FROM documents""")
 def h2_canonical_session(spark, sf_dir):
     """Exact ids of conversations in typed blocks: empty blocks go, tool results become turns, the first answer ends the opening."""
     return _opening_ids(_docs(spark, sf_dir))
 
 
-@query(whole("h2_canonical_session", "left(text, 40) -> text"))
-def h2_canonical_session_whole(spark, sf_dir):
-    return _opening_ids(_whole_docs(spark, sf_dir))
-
-
 def _opening_ids(docs: DataFrame) -> DataFrame:
     block = lambda kind, **kw: F.struct(F.lit(kind).alias("type"), *((kw[k] if isinstance(kw.get(k), Column) else F.lit(kw.get(k)).cast("string")).alias(k) for k in ("text", "thinking", "content", "tool_use_id")))
     first = F.to_variant_object(F.struct(F.lit("user").alias("role"), F.array(block("text", text=F.col("t")), block("text", text="(no content)"), block("tool_result", content=F.concat(F.lit("r"), "d"), tool_use_id="1")).alias("content")))
     then = _variant(role="assistant", content="late")
     df = docs.select("doc_id", F.lit("anthropic_messages").alias("format"), F.array(F.parse_json(F.lit('{"name":"f"}'))).alias("tools"), F.array(first, then).alias("messages"), F.lit(None).cast("variant").alias("response"), F.lit("s told").alias("system_prompt"))
-    return session.exact(df).select("doc_id", "session_id")
+    return session.identify(df).select("doc_id", "session_id")
 
 
 @query("SELECT doc_id, 'session_' || md5('[]' || 'tool' || left(repeat('x', CAST(doc_id % 3 * 800 AS BIGINT)), 1000) || 'assistantreason' || CASE WHEN doc_id % 2 = 0 THEN 'end' ELSE 'open' END) AS session_id FROM documents")
@@ -758,13 +730,40 @@ def h5_tool_cut_and_thinking(spark, sf_dir):
     answer = F.when(F.col("doc_id") % 2 == 0, "<think> reason </think> so <answer> end </answer>").otherwise("<think> reason </think> open")
     said = F.array(F.struct(F.lit("tool").alias("role"), F.repeat(F.lit("x"), (F.col("doc_id") % 3 * 800).cast("int")).alias("content")))
     once = F.array(F.struct(F.lit("assistant").alias("role"), answer.alias("content")))
-    df = _docs(spark, sf_dir).select("doc_id", F.lit("unknown").alias("format"), F.array().cast("array<variant>").alias("tools"), F.lit(None).cast("variant").alias("response"), F.lit("").alias("system_prompt"), said.alias("a"), once.alias("b"))
-    # two ids whose texts add up: the tool's opening and the assistant's
-    from ..functions.canonical import session_text
+    # two openings whose texts add up: the tool's and the assistant's
+    both = F.explode(F.array(F.struct(F.lit(0).alias("k"), said.alias("m")), F.struct(F.lit(1).alias("k"), once.alias("m")))).alias("x")
+    df = _docs(spark, sf_dir).select("doc_id", F.lit("unknown").alias("format"), F.array().cast("array<variant>").alias("tools"), F.lit(None).cast("variant").alias("response"), F.lit("").alias("system_prompt"), both)
+    df = session.with_text(df.select("*", "x.k", F.transform("x.m", F.to_variant_object).alias("messages")))
+    parts = df.groupBy("doc_id").agg(F.max(F.when(F.col("k") == 0, F.col("session_text"))).alias("a"), F.max(F.when(F.col("k") == 1, F.col("session_text"))).alias("b"))
+    return parts.select("doc_id", session.session_hash(F.concat("a", F.substr("b", F.lit(3)))).alias("session_id"))
+
+
+_PLAIN_SQL = "replace(replace(replace(replace({}, ' ', ''), chr(10), ''), chr(13), ''), chr(9), '')"
 
-    text_of = F.udf(session_text, "string", useArrow=True)
-    parts = [text_of("format", F.lit("[]"), F.to_json(k), F.lit("{}"), F.lit("")) for k in ("a", "b")]
-    return df.select("doc_id", session.session_hash(F.concat(parts[0], F.substr(parts[1], F.lit(3)))).alias("session_id"))
+
+def _answered(docs: DataFrame, fmt: str, response_of) -> DataFrame:
+    """Ids of conversations that the response alone makes up (even documents) or that a question opens."""
+    asked = F.when(F.col("doc_id") % 2 == 1, F.array(_variant(role="user", content="ask"))).otherwise(F.array().cast("array<variant>"))
+    df = docs.select("doc_id", F.lit(fmt).alias("format"), F.array().cast("array<variant>").alias("tools"), asked.alias("messages"), response_of.alias("response"), F.lit("").alias("system_prompt"))
+    return session.identify(df).select("doc_id", "session_id")
+
+
+@query(f"""SELECT doc_id, 'session_' || md5('[]' || CASE WHEN doc_id % 2 = 1 THEN 'userask' ELSE 'assistant' || {_PLAIN_SQL.format("text")} || 'tail' END) AS session_id FROM documents WHERE trim(text) <> ''""")
+def h1_bedrock_session(spark, sf_dir):
+    """The answer of a Converse response: blocks without a type are texts."""
+    content = F.array(F.struct(F.col("t").alias("text")), F.struct(F.lit("tail").alias("text")))
+    docs = _docs(spark, sf_dir).where("trim(t) <> ''")
+    return _answered(docs, "bedrock_converse", F.to_variant_object(F.struct(F.struct(F.struct(content.alias("content")).alias("message")).alias("output"))))
+
+
+@query(f"""SELECT doc_id, 'session_' || md5('[]' || CASE WHEN doc_id % 2 = 1 THEN 'userask' ELSE 'assistantwhy' || {_PLAIN_SQL.format("text")} || '[{{"function":{{"arguments":{{"a":1.5,"b":[' || doc_id || ']}},"name":"f"}},"type":"function"}}]' END) AS session_id FROM documents WHERE text <> ''""")
+def h1_responses_session(spark, sf_dir):
+    """The answer of a Responses object: reasoning, text and a call whose arguments are a JSON text."""
+    block = lambda kind: F.array(F.struct(F.lit(kind).alias("type"), F.when(F.lit(kind == "summary_text"), F.lit("why")).otherwise(F.col("t")).alias("text")))
+    reasoning = F.to_variant_object(F.struct(F.lit("reasoning").alias("type"), block("summary_text").alias("summary")))
+    message = F.to_variant_object(F.struct(F.lit("message").alias("type"), block("output_text").alias("content")))
+    call = _variant(type="function_call", call_id="c", name="f", arguments=F.concat(F.lit('{"b": ['), "d", F.lit('], "a": 1.50}')))
+    return _answered(_docs(spark, sf_dir).where("t <> ''"), "openai_responses", F.to_variant_object(F.struct(F.lit("response").alias("object"), F.array(reasoning, message, call).alias("output"))))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'r' || doc_id WHEN doc_id % 3 = 1 THEN 's' || doc_id ELSE 'unknown-session' END AS id, CASE WHEN doc_id % 2 = 0 THEN 'mine' ELSE 'gpt-5.5' END AS model FROM documents")
@@ -852,14 +851,6 @@ def k1_trace_sink(spark, sf_dir):
     return spark.read.text(path).groupBy("route", "session_key").agg(F.count_if(F.get_json_object("value", "$.type").isNotNull()).alias("n_events"))
 
 
-@query("SELECT doc_id, source FROM documents WHERE lang = 'en' AND source IN (SELECT source FROM documents GROUP BY source HAVING count(*) >= 10)")
-def k4_kept_rows(spark, sf_dir):
-    """Rows whose file was kept: a semi-join on the kept paths."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
-    kept = d.groupBy("source").count().where("count >= 10").select("source")
-    return d.where("lang = 'en'").join(kept, "source", "left_semi").select("doc_id", "source")
-
-
 @query("SELECT conv_id, CAST(count(*) AS BIGINT) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles FROM (SELECT conv_id, turn, role FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id, role, left(text, 120) ORDER BY turn) = 1) GROUP BY conv_id")
 def k9_training_rows(spark, sf_dir):
     """Training rows of valid traces."""
