@@ -123,3 +123,57 @@ def test_custom_rule(spark, tmp_path):
     df = clean.judge(delivery.read(spark, str(tmp_path)))
     extra = [*rules.RULES, ("R8_short", lambda: F.when(F.col("n_messages") < 100, F.lit("short")))]
     assert rules.evaluate(df, extra).first().reasons == ["short"]
+
+
+def test_names_that_sessions_share_are_told_apart(spark):
+    rows = [(i, 0, 1, n) for i, n in enumerate(["a.jsonl", "a.jsonl", "a_1.jsonl", "b.jsonl", "a.jsonl"])]
+    got = clean.named_apart(spark.createDataFrame(rows, "src_rank int, member_rank int, source_line int, trace_name string")).collect()
+    assert len({r.trace_name for r in got}) == 5
+    assert {r.src_rank: r.trace_name for r in got}.items() >= {0: "a.jsonl", 2: "a_1.jsonl", 3: "b.jsonl"}.items()
+
+
+def test_text_functions_are_pythons(spark):
+    from pyspark.sql import functions as F
+
+    from tracewright.functions import text
+    from tracewright.operators import funnel
+    from tracewright.plans import report
+
+    rows = [(3, 2000), (3, 20000), (1, 8), (1, 3), (0, 5), (5, 5), (7, 0)] + [(a, b) for b in (16, 40, 4000, 20000) for a in range(0, b, max(1, b // 300))]
+    for r in spark.createDataFrame(rows, "a long, b long").select("a", "b", text.percent(F.col("a"), F.col("b")).alias("p"), funnel.rate(F.col("a"), F.col("b")).alias("r")).collect():
+        assert r.p == report.percent_text(r.a, r.b) and r.r == (round(r.a / r.b, 4) if r.b else None)
+    strings = ["\u3000 a b \x1f\n", "", " ", "x", None, "\u200bq "]
+    for r in spark.createDataFrame([(x,) for x in strings], "s string").select("s", text.strip(F.col("s")).alias("t"), text.table_cell(F.col("s")).alias("c")).collect():
+        assert r.t == (None if r.s is None else r.s.strip()) and r.c == ("—" if r.s is None else r.s)
+
+
+def test_report_texts(tmp_path):
+    from tracewright.plans import report
+
+    assert [report.elapsed_text(x) for x in (None, 59.94, 61, 3599, 7260)] == ["—", "59.9s", "1m1s", "59m59s", "2h1m"]
+    assert report.describe("no_tools") and report.describe("stop_reason_odd") == "stopped by odd" and report.describe("other") == "—"
+    assert report.shown_path(str(tmp_path), True) == str(tmp_path.resolve()) and report.shown_path(".") == "."
+
+
+def test_path_guards(tmp_path):
+    from tracewright.sources import delivery
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "x.jsonl").write_text("{}\n")
+    (tmp_path / "in" / "a.jsonl").write_text("{}\n")
+    (tmp_path / "in" / "link.jsonl").symlink_to(tmp_path / "out" / "x.jsonl")
+    assert [n for n, _ in delivery.discover(str(tmp_path / "in"))] == ["a.jsonl"]
+    assert delivery.resolve_under(tmp_path, "a/../b").name == "b"
+    for bad in ("../x", "/etc/x", "a/../../x"):
+        with pytest.raises(ValueError):
+            delivery.resolve_under(tmp_path, bad)
+
+
+def test_validator_by_name(spark, tmp_path, monkeypatch):
+    from tracewright import cli
+    from tracewright.operators import validators
+
+    (tmp_path / "in").mkdir()
+    assert cli.main(["clean", str(tmp_path / "in"), str(tmp_path / "o"), "--validator", "no_such_module_here"]) == 3
+    assert validators.available("json") and not validators.available("no_such.module")

@@ -45,5 +45,5 @@ def test_command_line(spark, tmp_path):
     assert cli.main(["clean", str(tmp_path / "in"), str(tmp_path / "in/out"), "--clean-output", "--training-rows"]) == 0
     r = json.loads((tmp_path / "in/out/report.json").read_text())
     assert (r["scanned"], r["filter_kept"], r["trace_valid"]) == (2, 1, 1)
-    assert cli.main(["clean", str(tmp_path / "in"), str(tmp_path / "in/out"), "--limit-records", "1", "--native-ids"]) == 0
+    assert cli.main(["clean", str(tmp_path / "in"), str(tmp_path / "in/out"), "--limit-records", "1"]) == 0
     assert cli.main(["clean", str(tmp_path / "nowhere"), str(tmp_path)]) == 2

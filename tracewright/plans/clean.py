@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import configure, is_object, parse
-from ..operators import dedup, export, response, rules, session
+from ..operators import dedup, export, response, rules, session, validators
 from ..operators.normalize import normalize
 from ..sources import delivery, sinks
 from .scratch import materialize
@@ -35,13 +35,13 @@ def envelopes(lines: DataFrame) -> DataFrame:
     return lines.withColumn("envelope", v).withColumn("envelope", F.when(is_object(F.col("envelope")), F.col("envelope")))
 
 
-def judge(lines: DataFrame, exact_ids: bool = True) -> DataFrame:
+def judge(lines: DataFrame) -> DataFrame:
     """Scanned lines through rules and session ids; failed lines keep null columns."""
     df = response.unwrap(envelopes(lines)).drop("response")
     df = rules.evaluate(normalize(df))
     fine = F.col("record").isNotNull()
     df = df.withColumn("passed", F.when(fine, F.col("passed"))).withColumn("reasons", F.when(fine, F.col("reasons"))).withColumn("format", F.when(fine, F.col("format")))
-    df = session.exact(df) if exact_ids else session.native(df)
+    df = session.identify(df)
     key = response.session_key(F.col("envelope"))
     return df.withColumn("session_key", key).withColumn("session_id", F.when(fine, F.coalesce("session_id", key)))
 
@@ -53,22 +53,30 @@ def dedup_marks(judged: DataFrame, by_filter: bool = True) -> DataFrame:
     return judged.join(marks.select(*ORDER, "dropped", "winner"), ORDER, "left")
 
 
-def clean(spark: SparkSession, lines: DataFrame, *, apply_filter: bool = True, with_dedup: bool = True, stamp: str | None = None, exact_ids: bool = True) -> Cleaned:
-    """The whole plan over lines as delivery.read gives them. Nothing is collected; the logs are parsed once."""
+def clean(spark: SparkSession, lines: DataFrame, *, apply_filter: bool = True, with_dedup: bool = True, stamp: str | None = None, validator: str | None = None, skip_validate: bool = False) -> Cleaned:
+    """The whole plan over lines as delivery.read gives them. Nothing is collected; the logs are parsed once.
+
+    validator: a module that judges traces (operators.validators); skip_validate: every trace counts as valid.
+    """
     configure(spark)
     stamp = stamp or now()
     columns = [*ORDER, "source_file", "envelope", "failure", "record", "format", "model", "n_messages", "stop_reason", "reasons", "passed", "session_id", "session_key"]
-    judged = materialize(judge(delivery.scanned(lines), exact_ids).select(*columns), "judged")
+    judged = materialize(judge(delivery.scanned(lines)).select(*columns), "judged")
     if with_dedup:
         judged = dedup_marks(judged, apply_filter)
     else:
         judged = judged.withColumn("dropped", F.lit(False)).withColumn("winner", F.col("passed") if apply_filter else F.col("record").isNotNull())
-    traces = materialize(export.validate(export.trace_events(judged.where("winner"), stamp)), "traces")
+    traces = export.validate(export.trace_events(judged.where("winner"), stamp))
+    if skip_validate:
+        traces = traces.withColumns({"route": F.lit("valid"), "error": F.lit(None).cast("string")})
+    elif validator:
+        traces = validators.by_module(traces, validator)
+    traces = materialize(traces, "traces")
     return Cleaned(lines, judged, traces.withColumn("trace_name", export.trace_name(F.col("session_key"))), stamp)
 
 
 def write(out: Cleaned, folder: str, *, keep_dropped: bool = False, keep_unwrapped: bool = False) -> None:
-    """Trace files by route, and sidecars on request. A name that two sessions share gets its scan order added, so none is lost."""
+    """Trace files by route, and sidecars on request. Names that several sessions share are told apart, so none is lost."""
     lines = export.trace_lines(named_apart(out.traces), out.stamp, ["route", "trace_name"])
     sinks.one_file_each(lines, folder)
     if keep_dropped:
@@ -80,10 +88,16 @@ def write(out: Cleaned, folder: str, *, keep_dropped: bool = False, keep_unwrapp
 
 
 def named_apart(traces: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
-    again = F.row_number().over(Window.partitionBy("trace_name").orderBy(*ORDER)) - 1
-    return traces.withColumn("_n", again).withColumn("trace_name", F.when(F.col("_n") > 0, F.concat(F.regexp_replace("trace_name", r"\.jsonl$", ""), F.lit("_"), F.col("_n"), F.lit(".jsonl"))).otherwise(F.col("trace_name"))).drop("_n")
+    """traces whose names no two share: of a name that several have, each but the first gets a hash of its place in the scan.
+
+    Only names that several have are joined back, usually few; a name of many traces burdens neither the aggregate nor the join.
+    """
+    place = F.struct(*ORDER)
+    shared = traces.groupBy("trace_name").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    hashed = F.left(F.sha2(F.concat_ws(":", *ORDER), 256), F.lit(16))
+    other = F.concat(F.regexp_replace("trace_name", r"\.jsonl$", ""), F.lit("~"), hashed, F.lit(".jsonl"))
+    alone = F.col("_first").isNull() | (F.col("_first") == place)
+    return traces.join(shared, "trace_name", "left").withColumn("trace_name", F.when(alone, F.col("trace_name")).otherwise(other)).drop("_first")
 
 
 def training_rows(traces: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from ..functions.jsonx import configure, is_object, parse
 from ..functions.text import file_name
 from ..operators import merge
 from ..sources import delivery, sinks
+from .report import describe, shown_path, table
 from .scratch import materialize
 
 
@@ -25,10 +26,10 @@ def trace_lines(spark: SparkSession, days: list[Path]) -> DataFrame:
     return parts.withColumn("event", F.when(is_object(F.col("event")), F.col("event")))
 
 
-def merge_traces(spark: SparkSession, root: str, out: str | None = None, *, include: list[str] | None = None, link: bool = False, dry: bool = False) -> dict:
+def merge_traces(spark: SparkSession, root: str, out: str | None = None, *, include: list[str] | None = None, exclude: list[str] | tuple[str, ...] = (), link: bool = False, dry: bool = False) -> dict:
     """Keep the longest trace of each session over all days; returns the manifest and writes it, also on a dry run."""
     configure(spark)
-    days = [d for d in delivery.day_dirs(root, include) if (d / "traces").is_dir()]
+    days = [d for d in delivery.day_dirs(root, include) if d.name not in exclude and (d / "traces").is_dir()]
     if not days:
         return {"pre_filter_files": 0, "post_filter_files": 0, "post_dedup_files": 0, "discarded_unknown_session": 0, "cross_day_duplicates": 0, "per_day": []}
     candidates = materialize(merge.trace_candidates(trace_lines(spark, days)), "candidates")
@@ -66,9 +67,9 @@ def read_reports(spark: SparkSession, days: list[Path]) -> DataFrame:
     return spark.createDataFrame([_report_row(d) for d in days], schema)
 
 
-def merge_reports(spark: SparkSession, root: str, out: str | None = None, *, include: list[str] | None = None, manifest: dict | None = None) -> dict:
+def merge_reports(spark: SparkSession, root: str, out: str | None = None, *, include: list[str] | None = None, exclude: list[str] | tuple[str, ...] = (), manifest: dict | None = None) -> dict:
     """Add up the reports of several days; with a merge manifest, also its per-day counts and sections."""
-    days = delivery.day_dirs(root, include)
+    days = [d for d in delivery.day_dirs(root, include) if d.name not in exclude]
     reports = read_reports(spark, days)
     if manifest is None and out and (Path(out) / "merge_manifest.json").is_file():
         manifest = json.loads((Path(out) / "merge_manifest.json").read_text(encoding="utf-8"))
@@ -77,14 +78,18 @@ def merge_reports(spark: SparkSession, root: str, out: str | None = None, *, inc
     rows = merge.per_day(reports, dates).orderBy("date").select("date", "scanned", "trace_valid", "pre_filter", "discarded_unknown_session", "kept_after_quality_filter").collect()
     sums = merge.sum_reports(reports).first().asDict()
     export = sums["export_total"]
+    warned = reports.orderBy("date").select("tar_warnings", "size_warnings").collect()
     merged = {
         "report_type": "merged",
         "source_days": [d.name for d in days],
+        "input_root": shown_path(root),
+        "output_dir": shown_path(out) if out else None,
+        "merge_manifest": shown_path(str(Path(out) / "merge_manifest.json")) if out and manifest else None,
         **sums,
         **{c: {r.key: r.n for r in merge.sum_counters(reports, c).collect()} for c in merge.COUNTERS},
         "funnel": {f"{k}_rate": round(sums[f"trace_{k}"] / export, 4) if export else None for k in ("valid", "incomplete", "invalid")},
-        "tar_warnings": [w for r in reports.orderBy("date").collect() for w in json.loads(r.tar_warnings)],
-        "size_warnings": [w for r in reports.orderBy("date").collect() for w in json.loads(r.size_warnings)],
+        "tar_warnings": [w for r in warned for w in json.loads(r.tar_warnings)],
+        "size_warnings": [w for r in warned for w in json.loads(r.size_warnings)],
         "per_day": [r.asDict() for r in rows],
         "pre_cross_day_dedup": {"trace_valid": sums["trace_valid"]},
     }
@@ -99,8 +104,12 @@ def merge_reports(spark: SparkSession, root: str, out: str | None = None, *, inc
 
 
 def markdown(merged: dict) -> str:
-    lines = ["# Merged report", "", "Days: " + ", ".join(merged["source_days"]), "", "| Field | Sum |", "|---|---|"]
-    lines += [f"| {k} | {merged[k]} |" for k in merge.SUM_FIELDS]
-    lines += ["", "| Day | Scanned | Valid | Discarded | Kept |", "|---|---|---|---|---|"]
-    lines += [f"| {d['date']} | {d['scanned']:.0f} | {d['trace_valid']:.0f} | {d['discarded_unknown_session']} | {d['kept_after_quality_filter']:.0f} |" for d in merged["per_day"]]
-    return "\n".join(lines) + "\n"
+    out = ["# Merged report", "", "Days: " + ", ".join(merged["source_days"]), ""]
+    out += [f"* {k}: {merged[k]}" for k in ("input_root", "output_dir", "merge_manifest") if merged.get(k)]
+    out += ["", "## Sums", "", *table(("Field", "Sum"), ((k, merged[k]) for k in merge.SUM_FIELDS))]
+    days = ((d["date"], int(d["scanned"] or 0), int(d["trace_valid"] or 0), d["pre_filter"], d["discarded_unknown_session"], d["kept_after_quality_filter"]) for d in merged["per_day"])
+    out += ["## Days", "", *table(("Day", "Scanned", "Valid", "Before the filter", "Discarded", "Kept"), days)]
+    out += ["## Drop reasons", "", *table(("Reason", "Records", "Meaning"), ((k, n, describe(k)) for k, n in merged.get("drop_reasons", {}).items()))]
+    for heading, name in (("Quality filter", "quality_filter"), ("Repeats across days", "cross_day_dedup"), ("Rates", "funnel")):
+        out += [f"## {heading}", "", *table(("Field", "Value"), merged.get(name, {}).items())]
+    return "\n".join(out)

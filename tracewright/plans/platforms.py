@@ -25,7 +25,7 @@ def judge_files(spark: SparkSession, path: str, glob: str = "*.json", mode: str
     df = files.withColumn("record", v).withColumn("record", F.when(is_object(F.col("record")), F.col("record")))
     df = rules.evaluate(normalize(df))
     if mode != "off":
-        df = session.exact(df)
+        df = session.identify(df)
     else:
         df = df.withColumn("session_id", F.lit(None).cast("string"))
     fine = F.col("record").isNotNull()
