@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in spark.checkpoint.dir, or in a temporary folder where that is unset."""
+    """A fresh path in spark.checkpoint.dir. Where that is unset: in a temporary folder if all runs on one machine, else in the
+    warehouse, which executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tracewright-"))
+        alone = spark.sparkContext.master.split("[")[0] == "local"
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tracewright-") if alone else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
