@@ -107,8 +107,9 @@ def test_quality_scores_equal_brute_force(spark):
     ids = sorted(i for i in by_id if fold(i, 5) != 0 and i % 5 != 0)
     feature = lambda i: quality_classifier.features_of(by_id[i])
     yes, rest = np.array([feature(i) for i in ids]), np.array([feature(i) for i in sorted(by_id)])
-    draft = quality_classifier.fit(yes[::2], rest[::2], 0.5)
-    prior = quality_classifier.estimated_prior(draft.scores(yes[1::2]), draft.scores(rest[1::2]))
+    (a, b), (c, d) = quality_classifier.halves(yes), quality_classifier.halves(rest)
+    draft = quality_classifier.fit(a, c, 0.5)
+    prior = quality_classifier.estimated_prior(draft.scores(b), draft.scores(d))
     everything = np.concatenate([yes, rest])
     mean, scale = everything.mean(axis=0), np.maximum(everything.std(axis=0), 1e-3)
     model = quality_classifier.fit(yes, rest, min(0.98, max(0.02, prior)))

@@ -96,12 +96,19 @@ def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, sure: float =
     return float(min(1.0, u[best] / p[best]))
 
 
+def halves(rows: np.ndarray, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Two halves of rows at random, the same on every run: neighbours in the order of ids may be alike."""
+    order = np.random.default_rng(seed).permutation(len(rows))
+    return rows[order[::2]], rows[order[1::2]]
+
+
 def fit_with_prior(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
     """A half of the rows, with a guessed prior, gives the scorer by which the other half estimates the prior; all rows give the model."""
     if min(len(positive), len(unlabelled)) < 4:
         return fit(positive, unlabelled, 0.5)
-    draft = fit(positive[::2], unlabelled[::2], 0.5)
-    return fit(positive, unlabelled, min(0.98, max(0.02, estimated_prior(draft.scores(positive[1::2]), draft.scores(unlabelled[1::2])))))
+    (some, others), (web, rest) = halves(positive), halves(unlabelled)
+    draft = fit(some, web, 0.5)
+    return fit(positive, unlabelled, min(0.98, max(0.02, estimated_prior(draft.scores(others), draft.scores(rest)))))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model | None:
