@@ -22,7 +22,8 @@ def parse(text: Column | str) -> Column:
     """VARIANT of a JSON text; null if there is anything besides one JSON value."""
     text = F.col(text) if isinstance(text, str) else text
     whole = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
-    return F.when(F.size(whole) == 1, F.get(whole, F.lit(0)))
+    # an argument of a function is evaluated once, so the text is parsed once
+    return F.get(F.flatten(F.transform(F.array(whole), lambda a: F.when(F.array_size(a) == 1, a))), F.lit(0))
 
 
 def present(v: Column) -> Column:

@@ -120,11 +120,13 @@ def parse_responses(df: DataFrame, text: str, out: str = "response") -> DataFram
     df = df.withColumn("_n", without_comments(F.col(text)))
     df = df.withColumn("_p", F.when(n.startswith("{"), parse(n))).withColumn("_o", string(field(p, "object")))
     df = df.withColumn("_b", F.when(~n.startswith("{") & (n != ""), sse_blocks(n)))
-    df = df.withColumn("_l", F.when(F.col("_b").isNotNull(), every_data_line(n)))
     df = df.withColumn("_c", F.filter(F.transform("_b", lambda b: b["data"]), lambda d: d.isNotNull()))
     streamed = F.exists("_b", lambda b: b["data"].isNotNull() & any_of(text_of(field(b["data"], "type")).startswith("response."), b["event"].isin(*EVENTS)))
     shape = lambda values: string(field(F.get(values, F.lit(0)), "object"))
-    df = df.withColumns({"_s": F.coalesce(streamed, F.lit(False)), "_oc": shape("_c"), "_ol": shape("_l")})
+    df = df.withColumns({"_s": F.coalesce(streamed, F.lit(False)), "_oc": shape("_c")})
+    # single data lines matter only where blocks tell no shape
+    df = df.withColumn("_l", F.when(F.col("_b").isNotNull() & ~F.col("_s") & ~any_of(F.col("_oc") == CHUNK), every_data_line(n)))
+    df = df.withColumn("_ol", shape("_l"))
     chunks = F.when(F.col("_o") == CHUNK, F.array(p)).when(F.col("_s"), None).when(F.col("_oc") == CHUNK, F.col("_c")).when(F.col("_ol") == CHUNK, F.col("_l"))
     df = df.withColumns({"_k": chunks, "_e": F.when(F.col("_s"), F.col("_b")), "_last": F.try_element_at("_l", F.lit(-1))})
     df = add_events(add_chunks(df, "_k", "_fc"), "_e", "_fe")
