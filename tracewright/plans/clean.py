@@ -23,7 +23,7 @@ def now() -> str:
 
 @dataclass
 class Cleaned:
-    lines: DataFrame  # every scanned line
+    lines: DataFrame  # every line, and files and members that were too large, with problem and size_bytes
     judged: DataFrame  # with failure, reasons, passed, dropped, winner
     traces: DataFrame  # winners with events, route
     stamp: str
@@ -61,7 +61,9 @@ def clean(spark: SparkSession, lines: DataFrame, *, apply_filter: bool = True, w
     configure(spark)
     stamp = stamp or now()
     columns = [*ORDER, "source_file", "envelope", "failure", "record", "format", "model", "n_messages", "stop_reason", "reasons", "passed", "session_id", "session_key"]
-    judged = materialize(judge(delivery.scanned(lines)).select(*columns), "judged")
+    # what was too large to read is written with the rest, so that warnings read no log again
+    every = materialize(judge(lines).select(*columns, "problem", "size_bytes"), "judged")
+    judged = delivery.scanned(every).drop("problem", "size_bytes")
     if with_dedup:
         judged = dedup_marks(judged, apply_filter)
     else:
@@ -72,7 +74,7 @@ def clean(spark: SparkSession, lines: DataFrame, *, apply_filter: bool = True, w
     elif validator:
         traces = validators.by_module(traces, validator)
     traces = materialize(traces, "traces")
-    return Cleaned(lines, judged, traces.withColumn("trace_name", export.trace_name(F.col("session_key"))), stamp)
+    return Cleaned(every, judged, traces.withColumn("trace_name", export.trace_name(F.col("session_key"))), stamp)
 
 
 def write(out: Cleaned, folder: str, *, keep_dropped: bool = False, keep_unwrapped: bool = False) -> None:
