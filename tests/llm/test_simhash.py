@@ -131,3 +131,18 @@ def test_one_of_each_decides_by_row(spark):
     # two texts that share their least id: each is stood for, one by its next id
     kept = [tuple(r) for r in simhash.one_of_each(spark.createDataFrame([(5, x), (5, y), (7, x), (7, y), (9, z)], "doc_id long, text string")).collect()]
     assert sorted(i for i, _ in kept) == [5, 7, 9] and {t for _, t in kept} == {x, y, z}
+
+
+def test_no_join_is_broadcast_by_estimate(spark, docs, monkeypatch):
+    """Spark takes each fingerprint's 35 keys for one row, and so broadcast the keys of 240 thousand fingerprints."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    plans, write = [], simhash.materialize
+
+    def plan(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(simhash, "materialize", lambda df, name: write(plan(df), name))
+    plan(simhash.link_edges(spark.range(1000).select(F.xxhash64("id").alias("fp"))))
+    plan(simhash.near_duplicates(docs))
+    assert sum("Join" in p for p in plans) >= 4 and not any("Broadcast" in p for p in plans)

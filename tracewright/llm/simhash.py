@@ -6,6 +6,9 @@ for each choice of that many blocks finds every link. Inside a bucket, bit plane
 fingerprints in one machine word), many distances are updated at once with carry-save counters, and words whose 64
 distances all exceed the radius are abandoned. A bucket gives the edges of a spanning forest of its links, never all
 pairs; buckets above CHUNK fingerprints are compared chunk against chunk in separate cells, so none is capped.
+
+Joins are told to sort and merge. Spark takes an explode to add no rows and a column of
+few values to be as long as its file, so left alone it broadcasts tables that the driver cannot hold.
 """
 
 from __future__ import annotations
@@ -212,7 +215,7 @@ def link_edges(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
     chunks = F.ceil(F.col("n") / chunk).cast("int")
     mine = F.pmod(F.xxhash64("fp"), "chunks").cast("int")
     cells = (
-        keyed.join(full, "key")
+        keyed.join(full.hint("merge"), "key")
         .withColumn("chunks", chunks)
         .withColumn("mine", mine)
         .select("key", "fp", "mine", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
@@ -238,9 +241,9 @@ def components(edges: DataFrame) -> DataFrame:
     while was[0]:
         both = now.union(now.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low).distinct()
+        small = large.join(low.hint("merge"), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low).distinct()
         before, now = now, materialize(small, "edges")
         drop_scratch(before)
         after = state(now)
@@ -255,10 +258,10 @@ def _grouped(docs: DataFrame, carry: tuple[str, ...], radius: int = RADIUS, bloc
     hashed = materialize(fingerprints(docs, carry), "fingerprints")
     distinct = materialize(hashed.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
     found = components(link_edges(distinct.select("fp"), radius, blocks))
-    groups = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    groups = distinct.join(found.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     lowest = groups.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = materialize(groups.join(lowest, "root").select("fp", "root", "component_id"), "components")
-    return hashed.join(named, "fp").select(*carry, "fp", "root", "component_id")
+    named = materialize(groups.join(lowest.hint("merge"), "root").select("fp", "root", "component_id"), "components")
+    return hashed.join(named.hint("merge"), "fp").select(*carry, "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
