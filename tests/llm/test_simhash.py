@@ -145,4 +145,5 @@ def test_no_join_is_broadcast_by_estimate(spark, docs, monkeypatch):
     monkeypatch.setattr(simhash, "materialize", lambda df, name: write(plan(df), name))
     plan(simhash.link_edges(spark.range(1000).select(F.xxhash64("id").alias("fp"))))
     plan(simhash.near_duplicates(docs))
-    assert sum("Join" in p for p in plans) >= 4 and not any("Broadcast" in p for p in plans)
+    plan(simhash.one_of_each(docs))
+    assert sum("Join" in p for p in plans) > 8 and not any("Broadcast" in p for p in plans)

@@ -7,7 +7,7 @@ fingerprints in one machine word), many distances are updated at once with carry
 distances all exceed the radius are abandoned. A bucket gives the edges of a spanning forest of its links, never all
 pairs; buckets above CHUNK fingerprints are compared chunk against chunk in separate cells, so none is capped.
 
-Joins are told to sort and merge. Spark takes an explode to add no rows and a column of
+Joins are told to sort and merge, or to hash a partition at a time. Spark takes an explode to add no rows and a column of
 few values to be as long as its file, so left alone it broadcasts tables that the driver cannot hold.
 """
 
@@ -286,8 +286,8 @@ def _representatives(pool: DataFrame) -> DataFrame:
         offers = rest.groupBy("root").agg(F.min("doc_id").alias("doc_id"))
         won = materialize(offers.groupBy("doc_id").agg(F.min("root").alias("root")), "won")
         taken = won if taken is None else taken.unionByName(won)
-        rest = materialize(rest.join(won.select("root"), "root", "left_anti").join(won.select("doc_id"), "doc_id", "left_anti"), "pool")
-    return first.join(taken, ["root", "doc_id"]).select("_row") if taken is not None else first.select("_row")
+        rest = materialize(rest.join(won.select("root").hint("merge"), "root", "left_anti").join(won.select("doc_id").hint("merge"), "doc_id", "left_anti"), "pool")
+    return first.join(taken.hint("merge"), ["root", "doc_id"]).select("_row") if taken is not None else first.select("_row")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -303,19 +303,20 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     repeats = materialize(known.groupBy("doc_id").agg(F.count("*").alias("n"), (F.min("_row") != F.max("_row")).alias("differ")).where("n > 1"), "repeated")
     if not repeats.where("differ").isEmpty():
         # components with an id that repeats over different rows choose among their rows; ids do not tell them apart
-        roots = materialize(known.join(repeats.where("differ"), "doc_id", "left_semi").select("root").distinct(), "contested")
-        pool = materialize(known.join(roots, "root", "left_semi"), "rows")
-        gone = known.join(roots, "root", "left_anti").where("component_id != doc_id").select("_row").unionByName(pool.join(_representatives(pool), "_row", "left_anti").select("_row"))
+        roots = materialize(known.join(repeats.where("differ").hint("merge"), "doc_id", "left_semi").select("root").distinct(), "contested")
+        pool = materialize(known.join(roots.hint("merge"), "root", "left_semi"), "rows")
+        lost = pool.join(_representatives(pool).hint("merge"), "_row", "left_anti").select("_row")
+        gone = known.join(roots.hint("merge"), "root", "left_anti").where("component_id != doc_id").select("_row").unionByName(lost)
     nameless = named.where("doc_id is null")
     have = not nameless.isEmpty()
     if have:
         stays = nameless.groupBy("root").agg(F.min("_row").alias("_row"))
-        gone = gone.unionByName(nameless.join(stays, "_row", "left_anti").select("_row"))
+        gone = gone.unionByName(nameless.join(stays.hint("merge"), "_row", "left_anti").select("_row"))
     gone = materialize(gone.distinct(), "gone")
     # each text moves once at any size; the hashes are the side that is held, a partition at a time
     kept = docs.withColumn("_row", row).join(gone.hint("shuffle_hash"), "_row", "left_anti")
     if repeats.isEmpty() and not have:
         return kept.select(docs.columns)
-    again = materialize(named.groupBy("_row").count().where("count > 1").select("_row"), "copies")
+    again = materialize(named.groupBy("_row").count().where("count > 1").select("_row"), "copies").hint("shuffle_hash")
     once = kept.join(again, "_row", "left_semi").dropDuplicates(["_row"])
     return kept.join(again, "_row", "left_anti").unionByName(once).select(docs.columns)
